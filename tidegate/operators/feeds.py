@@ -13,13 +13,15 @@ from tidegate.operators.relational import latest_per
 
 FAILED, SUCCEEDED, SKIPPED, RUNNING = "FAILED", "SUCCEEDED", "SKIPPED", "IN PROGRESS"
 
-# File-name date patterns, how to find them and how to read them.
-FILE_DATES = {
-    "YYYYMMDD": ("_([0-9]{8})", "yyyyMMdd"),
+# Markers of a file-name pattern and the text they stand for.
+FULL_DATES = {
+    "YYYYMMDD": ("_([0-9]{4}(?:1[0-2]|0[1-9])[0-3][0-9])", "yyyyMMdd"),
     "MMDDYYYY": ("((?:1[0-2]|0[1-9])[0-3][0-9][0-9]{4})", "MMddyyyy"),
-    "MmmYyy": ("M((?:0[1-9]|1[0-2])Y[0-9]{2})", "MM'Y'yy"),
 }
-FILE_WEEK = ("_Www", "_W(0[1-9]|[1-4][0-9]|5[0-2])")
+MONTH_MARKER, MONTH_TEXT = "MmmYyy", "M(1[0-2]|0[1-9])Y([0-9]{2})"
+WEEK_MARKER, WEEK_TEXT = "_Www", "_W(0[1-9]|[1-4][0-9]|5[0-2])"
+# Two-digit years from here on belong to the last century.
+CENTURY_TURN = 69
 
 
 def feed_name(file_name: Column) -> Column:
@@ -142,12 +144,16 @@ def file_order_value(file_name: Column, pattern: str) -> Column:
 
     Null when the name does not fit its pattern.
     """
-    for marker, (regex, fmt) in FILE_DATES.items():
+    for marker, (regex, fmt) in FULL_DATES.items():
         if marker in pattern:
             return F.unix_date(F.try_to_timestamp(F.regexp_extract(file_name, regex, 1), F.lit(fmt)).cast("date"))
-    if FILE_WEEK[0] in pattern:
-        week = F.regexp_extract(file_name, FILE_WEEK[1], 1)
-        return F.when(week != "", week.cast("int"))
+    if MONTH_MARKER in pattern:
+        month, year = (F.regexp_extract(file_name, MONTH_TEXT, i).try_cast("int") for i in (1, 2))
+        century = F.when(year >= CENTURY_TURN, 1900).otherwise(2000)
+        return F.unix_date(F.make_date(century + year, month, F.lit(1)))
+    if WEEK_MARKER in pattern:
+        week = F.regexp_extract(file_name, WEEK_TEXT, 1)
+        return F.when(week != "", week.try_cast("int"))
     return F.lit(0)
 
 

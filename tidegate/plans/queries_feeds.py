@@ -170,7 +170,7 @@ def _(spark, sf):
 @query(
     "f10_file_month_order",
     """WITH m AS (SELECT DISTINCT concat('feed_M', substr(file_name, 14, 2), 'Y', substr(file_name, 12, 2), '.csv') AS file_name,
-                         concat('20', substr(file_name, 12, 4)) AS k FROM feed_files)
+                         substr(file_name, 10, 6) AS k FROM feed_files)
        SELECT file_name, dense_rank() OVER (ORDER BY k) AS batch_order FROM m""",
     inputs=("feed_files",),
 )
