@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators.columns import add_columns
+from tidegate.operators.skew import balanced_join, null_safe_key
 
 # Open start and end of an effective period.
 FIRST_DAY, LAST_DAY = "19000101", "29991231"
@@ -41,11 +42,8 @@ def stitch_scd1(
         raise ValueError(f"SCD type {scd_type} is not supported")
     incoming = one_per_key(new.drop(batch_column), keys, latest_by)
     old = history.drop(batch_column)
-    replaced = incoming.select(*[F.col(k).alias(f"__{k}") for k in keys])
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    kept = old.join(replaced, condition, "left_anti")
+    key = null_safe_key(keys).alias("__key")
+    kept = balanced_join(old.select("*", key), incoming.select(key), ["__key"], "left_anti").drop("__key")
     return kept.unionByName(incoming).withColumn(batch_column, F.lit(batch_id).cast("bigint"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators.ordering import dense_rank_of, number_rows
-from tidegate.operators.skew import balanced_join, bounded_broadcast
+from tidegate.operators.skew import bounded_broadcast, lookup_join, null_safe_key
 from tidegate.operators.relational import latest_per
 
 FAILED, SUCCEEDED, SKIPPED, RUNNING = "FAILED", "SUCCEEDED", "SKIPPED", "IN PROGRESS"
@@ -97,7 +97,7 @@ def header_mismatch(headers: DataFrame, metadata: DataFrame, separator: str = ",
         .agg(F.array_sort(F.collect_list(F.struct("column_sequence_number", "source_column_name"))).alias("c"))
         .select("dataset_id", F.transform("c", lambda x: x["source_column_name"]).alias("expected"))
     )
-    compared = headers.join(bounded_broadcast(configured), "dataset_id").withColumn("actual", F.split("header", separator))
+    compared = lookup_join(headers, configured, ["dataset_id"], "inner").withColumn("actual", F.split("header", separator))
     length = F.greatest(F.size("actual"), F.size("expected"))
     return (
         compared.withColumn("pos", F.explode(F.sequence(F.lit(0), length - 1)))
@@ -179,11 +179,11 @@ def unprocessed_sources(control: DataFrame, log: DataFrame) -> DataFrame:
     Both frames carry platform, source_system, database_name, object_name and query_text (nullable).
     """
     key = ["platform", "source_system", "database_name", "object_name", "query_text"]
-    done = log.filter((F.col("status") == SUCCEEDED) & (F.lower("load_type") == "full")).select(*key).distinct()
-    safe = lambda df: df.withColumns({f"__{k}": F.coalesce(F.col(k), F.lit("\u0000")) for k in key})
-    joined = [f"__{k}" for k in key]
-    full = safe(control.filter(F.lower("load_type") == "full")).join(safe(done).select(*joined), joined, "left_anti")
-    return full.drop(*joined).unionByName(control.filter(F.lower("load_type") != "full"))
+    source = null_safe_key(key).alias("__source")
+    is_full = F.lower("load_type") == "full"
+    done = log.filter((F.col("status") == SUCCEEDED) & is_full).select(source).distinct()
+    full = control.filter(is_full).select("*", source).join(done, "__source", "left_anti").drop("__source")
+    return full.unionByName(control.filter(~is_full))
 
 
 def select_sources(
@@ -227,9 +227,5 @@ def tag_lineage(df: DataFrame, batch_id: int, file_ids: DataFrame, file_column:
     `file_ids(<file_column>, file_id)` has one row per file; rows of one file are many, so its hot
     keys are spread when the list is too long to broadcast.
     """
-    from tidegate.operators.skew import is_small
-
     tagged = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    if is_small(file_ids):
-        return tagged.join(F.broadcast(file_ids), file_column, "left")
-    return balanced_join(tagged, file_ids, [file_column], "left")
+    return lookup_join(tagged, file_ids, [file_column], "left")

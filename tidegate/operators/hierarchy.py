@@ -26,20 +26,22 @@ def hierarchy(
     the one with the lowest node string is taken.
 
     Each level joins the newly reached vertices with the edges to vertices not reached yet; edges
-    leave the working set with their target. The edges of a very wide parent are spread.
+    leave the working set with their target. The edges of a very wide parent, or of a node with very
+    many parents, are spread.
     """
     targets = vertices.select(F.col("id").alias("dst"), F.col("node").alias("dst_node"))
     starts = F.col(start_column) == F.lit(start_value)
     level = cut_lineage(
         vertices.filter(starts).select("id", "node", F.lit(0.0).alias("dist"), F.array("node").alias("path"))
     )
-    open_edges = edges.select("src", "dst").distinct().join(targets, "dst")
+    open_edges = balanced_join(edges.select("src", "dst").distinct(), targets, ["dst"], hot_rows=hot_rows, fraction=fraction)
     open_edges = cut_lineage(open_edges.join(level.select(F.col("id").alias("dst")), "dst", "left_anti"))
-    hot = hot_keys(open_edges, ["src"], hot_rows, fraction)
+    wide = hot_keys(open_edges, ["src"], hot_rows, fraction)
+    crowded = hot_keys(open_edges, ["dst"], hot_rows, fraction)
     levels = [level]
     for depth in range(1, max_iter + 1):
         parents = level.select(F.col("id").alias("src"), F.col("node").alias("parent"), F.col("path").alias("above"))
-        sent = balanced_join(open_edges, parents, ["src"], hot=hot)
+        sent = balanced_join(open_edges, parents, ["src"], hot=wide)
         best = F.min(F.struct("parent", "above", "dst_node"))
         level = cut_lineage(
             sent.groupBy("dst")
@@ -54,7 +56,7 @@ def hierarchy(
         if level.isEmpty():
             break
         levels.append(level)
-        open_edges = open_edges.join(level.select(F.col("id").alias("dst")), "dst", "left_anti")
+        open_edges = balanced_join(open_edges, level.select(F.col("id").alias("dst")), ["dst"], "left_anti", hot=crowded)
         if depth % checkpoint_every == 0:
             open_edges = cut_lineage(open_edges)
     reached = levels[0]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.operators.skew import bounded_broadcast
+from tidegate.operators.skew import lookup_join
 
 ROWS_PER_CHUNK = 2_000_000
 MAX_CHUNKS = 32_768
@@ -109,7 +109,7 @@ def dense_rank_of(
     """
     distinct = df.select(value).filter(F.col(value).isNotNull()).distinct()
     ranks = number_rows(distinct, [value], name, 1, rows_per_chunk)
-    return df.join(bounded_broadcast(ranks), value, "left")
+    return lookup_join(df, ranks, [value], "left")
 
 
 def with_previous(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.operators.skew import balanced_join
+from tidegate.operators.skew import balanced_join, lookup_join, null_safe_key
 
 CRITICAL = "critical"
 ERROR_SCHEMA = "row_id bigint, rule_id string, column_name string, value string, severity string"
@@ -101,7 +101,7 @@ def dq_check(
                 bad = balanced_join(narrow, repeated, ["__v"], "left_semi")
             else:
                 known = (references or {})[rule["reference"]].select(F.col(rule["reference_column"]).alias("__v")).distinct()
-                bad = balanced_join(narrow, known, ["__v"], "left_anti")
+                bad = lookup_join(narrow, known, ["__v"], "left_anti")
             parts.append(bad.select("row_id", *carry, _error(rule, F.col("__v")).alias("e")).select("row_id", *carry, "e.*"))
     if not parts:
         schema = T.StructType(
@@ -132,7 +132,7 @@ def dq_summary(errors: DataFrame, checked: int | Column, rules: Sequence[Mapping
 def dq_filter(df: DataFrame, errors: DataFrame, row_id: str = "row_id", require_rows: bool = True) -> DataFrame:
     """Rows without a critical error (a choice: other severities only report)."""
     bad = errors.filter(F.col("severity") == CRITICAL).select(F.col("row_id").alias(row_id)).distinct()
-    clean = df.join(bad, row_id, "left_anti")
+    clean = balanced_join(df, bad, [row_id], "left_anti")
     if require_rows and clean.isEmpty():
         raise NoRowsLeft("no rows left after the quality checks")
     return clean
@@ -154,15 +154,17 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], columns
     """Compare a source extract with the loaded table.
 
     Keys that occur several times on a side are reported, then one copy per key (the smallest by
-    all columns) is compared. Both sides are reduced to unique keys before the only join.
+    all columns) is compared. Both sides are reduced to unique keys before the only join; null keys
+    match each other.
     """
 
     def reduced(df: DataFrame, side: str) -> DataFrame:
         low = F.min(F.struct(*[F.col(c) for c in columns])).alias(side)
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{side}"), low)
+        grouped = df.groupBy(null_safe_key(keys).alias("__key"))
+        return grouped.agg(F.count(F.lit(1)).alias(f"n_{side}"), low)
 
-    compared = reduced(source, "s").join(reduced(target, "t"), list(keys), "full_outer").withColumns(
-        {"n_s": F.coalesce("n_s", F.lit(0)), "n_t": F.coalesce("n_t", F.lit(0))}
+    compared = reduced(source, "s").join(reduced(target, "t"), "__key", "full_outer").select(
+        "__key.*", F.coalesce("n_s", F.lit(0)).alias("n_s"), F.coalesce("n_t", F.lit(0)).alias("n_t"), "s", "t"
     )
     in_both = (F.col("n_s") > 0) & (F.col("n_t") > 0)
     differing = F.filter(

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.operators.skew import BROADCAST_ROWS, balanced_join, is_small
+from tidegate.operators.skew import BROADCAST_ROWS, balanced_join, is_small, lookup_join
 
 
 def join_first(
@@ -31,9 +31,7 @@ def lookup(
     with hot keys spread out.
     """
     right = mapping.withColumnRenamed(mapping_key, column)
-    if is_small(right, max_broadcast_rows):
-        return df.join(F.broadcast(right), [column], "left")
-    return balanced_join(df, right, [column], "left")
+    return lookup_join(df, right, [column], "left", max_broadcast_rows)
 
 
 def with_calendar(df: DataFrame, calendar: DataFrame, date_key: str, calendar_key: str = "cal_date_key") -> DataFrame:

@@ -67,25 +67,40 @@ def balanced_join(
     on = list(on)
     if hot is None:
         hot = hot_keys(left, on, hot_rows, fraction)
-    hot = [key for key in hot if all(part is not None for part in key)]
     if not hot:
         return left.join(right, on, how)
+    # Null keys match nothing, so their rows are spread without copies of the right side.
+    null_key = F.lit(False)
+    for k in on:
+        null_key = null_key | F.col(k).isNull()
+    hot = [key for key in hot if all(part is not None for part in key)]
     schema = T.StructType([left.schema[k] for k in on])
     hot_frame = F.broadcast(left.sparkSession.createDataFrame(hot, schema).withColumn("__hot", F.lit(True)))
     # Row content and map task, not a random number: a retried task must send its rows the same way.
     hashable = [f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     spread = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(salts))
     salted_left = left.join(hot_frame, on, "left").withColumn(
-        _SALT, F.when(F.col("__hot"), spread).otherwise(F.lit(0)).cast("int")
+        _SALT, F.when(F.col("__hot") | null_key, spread).otherwise(F.lit(0)).cast("int")
     ).drop("__hot")
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.join(hot_frame, on, "left").withColumn(_SALT, F.explode(copies)).drop("__hot")
     return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
 
 
-def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
-    """Join condition `l.k <=> r.k` for all keys."""
-    condition = F.lit(True)
-    for key in on:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def lookup_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    max_broadcast_rows: int = BROADCAST_ROWS,
+    **balance,
+) -> DataFrame:
+    """Join with a usually small right side: broadcast once its row count was checked, else balanced."""
+    if is_small(right, max_broadcast_rows):
+        return left.join(F.broadcast(right), list(on), how)
+    return balanced_join(left, right, on, how, **balance)
+
+
+def null_safe_key(keys: Sequence[str]) -> Column:
+    """One join key in which nulls equal nulls, as fields of a struct do."""
+    return F.struct(*[F.col(k) for k in keys])

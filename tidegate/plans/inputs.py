@@ -159,11 +159,12 @@ INPUTS: dict[str, Input] = {
         ("part",),
     ),
     "part_columns": Input(
-        """SELECT DISTINCT p_type AS dataset_id, n_nationkey AS column_sequence_number,
-                  CASE n_nationkey WHEN 1 THEN 'KEY' WHEN 2 THEN 'NAME' ELSE 'PRICE' END AS source_column_name,
-                  CASE p_type WHEN 'ECONOMY' THEN 'V' WHEN 'PROMO' THEN 'N' ELSE 'Y' END AS header_flag
-           FROM {part} JOIN {nation} ON n_nationkey BETWEEN 1 AND 3 AND p_size > 0""",
-        ("part", "nation"),
+        """SELECT dataset_id, column_sequence_number, source_column_name,
+                  CASE dataset_id WHEN 'ECONOMY' THEN 'V' WHEN 'PROMO' THEN 'N' ELSE 'Y' END AS header_flag
+           FROM (SELECT DISTINCT p_type AS dataset_id, 1 AS column_sequence_number, 'KEY' AS source_column_name FROM {part}
+                 UNION ALL SELECT DISTINCT p_type, 2, 'NAME' FROM {part}
+                 UNION ALL SELECT DISTINCT p_type, 3, 'PRICE' FROM {part}) c""",
+        ("part",),
     ),
     # Columns seen in the incoming files of a brand, and those configured for it.
     "seen_columns": Input(

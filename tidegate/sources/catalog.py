@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.sources.writers import partition_name
+from tidegate.sources.writers import gathered, partition_name
 
 TEXT_STEPS = ("landing", "pre_dqm")
 TYPED_STEPS = ("staging", "publish_table")
@@ -41,7 +41,7 @@ def publish_table(
         *[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items() if c not in partitions],
         *[F.col(f"`{c}`").cast("string").alias(p) for c, p in partitions.items()],
     )
-    writer = out.write.mode("overwrite")
+    writer = gathered(out, list(partitions.values())).write.mode("overwrite")
     (writer.partitionBy(*partitions.values()) if partitions else writer).parquet(path)
     body = ", ".join(
         [f"`{c}` {kind}" for c, kind in columns.items() if c not in partitions]

@@ -17,6 +17,14 @@ MAX_SINGLE_FILE_ROWS = 5_000_000
 KEEP_BLANKS = dict(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
+def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bring rows of one output folder together, so that each task writes few files.
+
+    The rebalance hint lets adaptive execution split a folder that holds very many rows.
+    """
+    return df.hint("rebalance", *by) if by else df
+
+
 def write_batch(df: DataFrame, root: str, batch_id, by: Sequence[str] = ("file_id",), batch_column: str = "batch_id") -> str:
     """Overwrite one batch, partitioned by file id; other batches stay untouched.
 
@@ -24,7 +32,7 @@ def write_batch(df: DataFrame, root: str, batch_id, by: Sequence[str] = ("file_i
     Rows of a hot file are spread over several output files.
     """
     path = f"{root}/{batch_column}={batch_id}"
-    writer = df.drop(batch_column).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = gathered(df.drop(batch_column), by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*by) if by else writer).parquet(path)
     return path
 
@@ -35,11 +43,11 @@ def publish(df: DataFrame, path: str, handle_empty: bool, by: Sequence[str] = ("
     With `handle_empty` an empty batch still leaves files with the schema, unpartitioned, so that
     readers do not fail.
     """
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if df.isEmpty():
         if handle_empty:
-            writer.parquet(path)
+            df.write.mode("overwrite").parquet(path)
         return False
+    writer = gathered(df, by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*by) if by else writer).parquet(path)
     return True
 
@@ -176,7 +184,7 @@ def backup_before_change(spark: SparkSession, path: str) -> str:
 def archive_batch(df: DataFrame, root: str, day: str, batch_id, file_column: str = "file_id") -> DataFrame:
     """Store a raw batch under `<root>/<day>/batch=/file=`; returns its record counts per file."""
     path = f"{root}/{day}/batch={batch_id}"
-    df.withColumnRenamed(file_column, "file").write.mode("overwrite").option(
+    gathered(df.withColumnRenamed(file_column, "file"), ["file"]).write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
     ).partitionBy("file").parquet(path)
     stored = df.sparkSession.read.parquet(path)
