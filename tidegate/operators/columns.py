@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LINEAGE_COLUMNS = ("PT_BATCH_ID", "PT_FILE_ID")
 
@@ -36,7 +37,20 @@ def add_columns(df: DataFrame, columns: Mapping[str, tuple[object, str]]) -> Dat
 
 def cast_columns(df: DataFrame, columns: Iterable[str], kind: str) -> DataFrame:
     """Cast columns to one type; what does not fit becomes null."""
-    return df.withColumns({c: F.expr(f"try_cast(`{c}` AS {kind})") for c in columns})
+    return df.withColumns({c: _fitting(df, c, kind) for c in columns})
+
+
+def _fitting(df: DataFrame, column: str, kind: str) -> Column:
+    """`try_cast`, after a plain comparison for numbers that are far too large for a decimal.
+
+    Overflow inside the cast is costly per row; the comparison never changes the result.
+    """
+    tried = F.expr(f"try_cast(`{column}` AS {kind})")
+    digits = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", kind.lower())
+    if digits and isinstance(df.schema[column].dataType, T.NumericType):
+        limit = 10.0 ** (int(digits[1]) - int(digits[2]))
+        return F.when(F.col(column).between(-limit, limit), tried)
+    return tried
 
 
 def recode(df: DataFrame, target: str, source: str, mapping: Mapping[object, object]) -> DataFrame:

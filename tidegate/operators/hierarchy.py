@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.operators.skew import HOT_ROWS, balanced_join, hot_keys
-from tidegate.session import cut_lineage
+from tidegate.operators.skew import HOT_ROWS, SALTS, balanced_join, hot_keys
+from tidegate.session import bucketed, cut_lineage
 
 
 def hierarchy(
@@ -25,45 +25,48 @@ def hierarchy(
     `max_iter` levels have `dist` infinity and path `['']`. Of several parents on the level above,
     the one with the lowest node string is taken.
 
-    Each level joins the newly reached vertices with the edges to vertices not reached yet; edges
-    leave the working set with their target. The edges of a very wide parent, or of a node with very
-    many parents, are spread.
+    The edges are stored once, bucketed by source, and only the vertices reached last are sent to
+    them. Edges of a very wide parent are spread over several buckets, with a copy of the parent for
+    each. A level is stored when it is complete.
     """
     targets = vertices.select(F.col("id").alias("dst"), F.col("node").alias("dst_node"))
     starts = F.col(start_column) == F.lit(start_value)
     level = cut_lineage(
         vertices.filter(starts).select("id", "node", F.lit(0.0).alias("dist"), F.array("node").alias("path"))
     )
-    open_edges = balanced_join(edges.select("src", "dst").distinct(), targets, ["dst"], hot_rows=hot_rows, fraction=fraction)
-    open_edges = cut_lineage(open_edges.join(level.select(F.col("id").alias("dst")), "dst", "left_anti"))
-    wide = hot_keys(open_edges, ["src"], hot_rows, fraction)
-    crowded = hot_keys(open_edges, ["dst"], hot_rows, fraction)
+    pairs = edges.select("src", "dst").filter("src is not null").distinct()
+    wide = hot_keys(pairs, ["src"], hot_rows, fraction)
+    named = balanced_join(pairs, targets, ["dst"], hot_rows=hot_rows, fraction=fraction)
+    wide_list = edges.sparkSession.createDataFrame(wide, edges.select("src").schema).withColumn("__wide", F.lit(True))
+    mark = lambda df: df.join(F.broadcast(wide_list), "src", "left") if wide else df.withColumn("__wide", F.lit(False))
+    slot = F.when(F.col("__wide"), F.pmod(F.xxhash64("dst"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    slots = F.when(F.col("__wide"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     levels = [level]
-    for depth in range(1, max_iter + 1):
-        parents = level.select(F.col("id").alias("src"), F.col("node").alias("parent"), F.col("path").alias("above"))
-        sent = balanced_join(open_edges, parents, ["src"], hot=wide)
-        best = F.min(F.struct("parent", "above", "dst_node"))
-        level = cut_lineage(
-            sent.groupBy("dst")
-            .agg(best.alias("m"))
-            .select(
-                F.col("dst").alias("id"),
-                F.col("m.dst_node").alias("node"),
-                F.lit(float(depth)).alias("dist"),
-                F.concat("m.above", F.array("m.dst_node")).alias("path"),
+    visited = level.select(F.col("id").alias("dst"))
+    with bucketed(mark(named).withColumn("slot", slot).drop("__wide"), ["src", "slot"]) as stored:
+        for depth in range(1, max_iter + 1):
+            parents = level.select(F.col("id").alias("src"), F.col("node").alias("parent"), F.col("path").alias("above"))
+            sent = stored.join(mark(parents).withColumn("slot", F.explode(slots)).drop("__wide"), ["src", "slot"])
+            best = F.min(F.struct("parent", "above", "dst_node"))
+            found = sent.groupBy("dst").agg(best.alias("m")).join(visited, "dst", "left_anti")
+            level = cut_lineage(
+                found.select(
+                    F.col("dst").alias("id"),
+                    F.col("m.dst_node").alias("node"),
+                    F.lit(float(depth)).alias("dist"),
+                    F.concat("m.above", F.array("m.dst_node")).alias("path"),
+                )
             )
-        )
-        if level.isEmpty():
-            break
-        levels.append(level)
-        open_edges = balanced_join(open_edges, level.select(F.col("id").alias("dst")), ["dst"], "left_anti", hot=crowded)
-        if depth % checkpoint_every == 0:
-            open_edges = cut_lineage(open_edges)
+            if level.isEmpty():
+                break
+            levels.append(level)
+            visited = visited.union(level.select(F.col("id").alias("dst")))
+            if depth % checkpoint_every == 0:
+                visited = cut_lineage(visited)
     reached = levels[0]
     for part in levels[1:]:
         reached = reached.union(part)
-    found = reached.select("id", "dist", "path")
-    return vertices.join(found, "id", "left").withColumns(
+    return vertices.join(reached.select("id", "dist", "path"), "id", "left").withColumns(
         {
             "dist": F.coalesce("dist", F.lit(float("inf"))),
             "path": F.coalesce("path", F.array(F.lit(""))),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators.skew import lookup_join
+from tidegate.session import cut_lineage
 
 ROWS_PER_CHUNK = 2_000_000
 MAX_CHUNKS = 32_768
@@ -104,10 +105,10 @@ def dense_rank_of(
 ) -> DataFrame:
     """Dense rank from 1 of a value over the whole table; null values keep a null rank.
 
-    The distinct values are numbered, then looked up. The lookup is broadcast only when it was
-    counted to be small.
+    The distinct values are stored and numbered, then looked up. The lookup is broadcast only when
+    it was counted to be small.
     """
-    distinct = df.select(value).filter(F.col(value).isNotNull()).distinct()
+    distinct = cut_lineage(df.select(value).filter(F.col(value).isNotNull()).distinct())
     ranks = number_rows(distinct, [value], name, 1, rows_per_chunk)
     return lookup_join(df, ranks, [value], "left")
 
@@ -188,7 +189,7 @@ def smallest_step(
 
     Ties go to the lowest pair. Groups with fewer than two distinct values are absent.
     """
-    distinct = df.select(*group, value).filter(F.col(value).isNotNull()).distinct()
+    distinct = cut_lineage(df.select(*group, value).filter(F.col(value).isNotNull()).distinct())
     pairs = with_previous(distinct, group, [value], [value], "__prev", rows_per_chunk).filter("__prev is not null")
     low = F.col(f"__prev.{value}")
     best = F.min(F.struct((F.col(value) - low).alias("step"), low.alias("low"), F.col(value).alias("high")))
@@ -199,7 +200,8 @@ def missing_integers(
     df: DataFrame, group: Sequence[str], value: str, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Integers absent between the lowest and highest value of each group."""
-    distinct = df.select(*group, F.col(value).cast("bigint").alias(value)).filter(F.col(value).isNotNull()).distinct()
+    number = F.col(value).cast("bigint").alias(value)
+    distinct = cut_lineage(df.select(*group, number).filter(F.col(value).isNotNull()).distinct())
     gaps = with_previous(distinct, group, [value], [value], "__prev", rows_per_chunk).filter(
         F.col(f"__prev.{value}") < F.col(value) - 1
     )

@@ -174,7 +174,7 @@ def append_rows(df: DataFrame, rows: Sequence[tuple], columns: Sequence[str]) ->
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows found in exactly one of two sets, with one shuffle."""
+    """Distinct rows found on exactly one side, with one shuffle; the sides may hold copies."""
     columns = left.columns
     both = left.withColumn("__side", F.lit(1)).union(right.withColumn("__side", F.lit(2)))
     return both.groupBy(*columns).agg(F.bit_or("__side").alias("__sides")).filter("__sides < 3").drop("__sides")

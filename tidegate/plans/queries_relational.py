@@ -331,8 +331,9 @@ def _(spark, sf):
 _TOKENS = "SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM {t}"
 
 
-def _tokens(spark, sf, name):
-    return table(spark, sf, name).select(F.explode(F.split("text", " ")).alias("word")).distinct()
+def _tokens(spark, sf, name, distinct=True):
+    words = table(spark, sf, name).select(F.explode(F.split("text", " ")).alias("word"))
+    return words.distinct() if distinct else words
 
 
 @query(
@@ -341,7 +342,7 @@ def _tokens(spark, sf, name):
         (SELECT word FROM a EXCEPT SELECT word FROM b) UNION ALL (SELECT word FROM b EXCEPT SELECT word FROM a)""",
 )
 def _(spark, sf):
-    return R.symmetric_difference(_tokens(spark, sf, "documents"), _tokens(spark, sf, "benchmark"))
+    return R.symmetric_difference(_tokens(spark, sf, "documents", False), _tokens(spark, sf, "benchmark", False))
 
 
 @query(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +51,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
 
 
+@contextmanager
+def bucketed(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> Iterator[DataFrame]:
+    """`df` stored in the shared folder, bucketed by `columns`.
+
+    Joins on these columns read the buckets without another shuffle. The catalog entry lives as
+    long as the context, so use it for data that later steps materialise.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tidegate_{uuid.uuid4().hex}"
+    stored = df.repartition(n, *columns).write.bucketBy(n, *columns).format("parquet")
+    stored.option("path", scratch_path(spark, name)).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder, so that lost executors lose no work."""
     shared_dir(df.sparkSession)
