@@ -34,7 +34,7 @@ def hierarchy(
     level = cut_lineage(
         vertices.filter(starts).select("id", "node", F.lit(0.0).alias("dist"), F.array("node").alias("path"))
     )
-    pairs = edges.select("src", "dst").filter("src is not null").distinct()
+    pairs = edges.select("src", "dst").filter("src is not null")
     wide = hot_keys(pairs, ["src"], hot_rows, fraction)
     named = balanced_join(pairs, targets, ["dst"], hot_rows=hot_rows, fraction=fraction)
     wide_list = edges.sparkSession.createDataFrame(wide, edges.select("src").schema).withColumn("__wide", F.lit(True))
