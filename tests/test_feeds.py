@@ -92,3 +92,19 @@ def test_needs_run(spark):
     )
     got = {r["batch_id"]: r["needs_run"] for r in X.needs_run(files, log, "s").collect()}
     assert got == {1: True, 2: False, 3: True}
+
+
+def test_nothing_pending(spark):
+    empty = spark.createDataFrame([], "file_name string")
+    assert X.pending_or_skip(empty, True)[1] == X.SKIPPED
+    with pytest.raises(X.NothingToDo):
+        X.pending_or_skip(empty, False)
+    assert X.pending_or_skip(spark.createDataFrame([("a",)], "file_name string"), False)[1] == X.RUNNING
+
+
+def test_lineage_needs_both_columns(spark):
+    rows = spark.createDataFrame([("a.csv", 1)], "file_name string, x int")
+    ids = spark.createDataFrame([("a.csv", 9)], "file_name string, file_id bigint")
+    assert X.tag_lineage(rows, 5, ids, configured=["x", "BATCH_ID"]).columns == ["file_name", "x"]
+    tagged = X.tag_lineage(rows, 5, ids, configured=["BATCH_ID", "file_id"]).first()
+    assert (tagged["batch_id"], tagged["file_id"]) == (5, 9)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,11 @@ def register_functions(spark: SparkSession) -> None:
     )
 
 
+def register_vectorized(spark: SparkSession, name: str, function: Callable, return_type: str) -> None:
+    """Make a function of pandas Series callable from SQL, for what built-in expressions cannot say."""
+    spark.udf.register(name, F.pandas_udf(function, return_type))
+
+
 def conditional_add(value: Column, label: Column, amounts: Mapping[str, int], otherwise: int) -> Column:
     """`value` plus the amount configured for `label`; an unknown or null label adds `otherwise`."""
     added = F.lit(otherwise)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators.ordering import dense_rank_of, number_rows
@@ -120,6 +120,22 @@ def pending_files(listing: DataFrame, audit: DataFrame, static: bool) -> DataFra
     return listing.join(done.select("file_name").distinct(), "file_name", "left_anti")
 
 
+class NothingToDo(ValueError):
+    """No file is left to process."""
+
+
+def pending_or_skip(pending: DataFrame, skip_allowed: bool) -> tuple[DataFrame, str]:
+    """The pending files with the status of their batch: in progress, or skipped when there are none.
+
+    Without `skip_allowed` an empty list is an error.
+    """
+    if not pending.isEmpty():
+        return pending, RUNNING
+    if not skip_allowed:
+        raise NothingToDo("no files to process")
+    return pending, SKIPPED
+
+
 def retry_files(audit: DataFrame) -> DataFrame:
     """Failed files with their old batch and file ids."""
     return audit.filter(F.col("status") == FAILED)
@@ -208,6 +224,12 @@ def batch_counts(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("record_count"))
 
 
+def observe_count(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """`df` that counts its rows while it is written; read `observation.get["record_count"]` after."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("record_count")), seen
+
+
 def log_status(spark: SparkSession, path: str, rows: DataFrame) -> None:
     """Append status rows to the audit table; messages are stripped of quotes and cut."""
     from tidegate.functions.scalar import clean_message
@@ -221,11 +243,20 @@ def current_status(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest_per(log, keys, "status", "logged_at")
 
 
-def tag_lineage(df: DataFrame, batch_id: int, file_ids: DataFrame, file_column: str = "file_name") -> DataFrame:
+def tag_lineage(
+    df: DataFrame,
+    batch_id: int,
+    file_ids: DataFrame,
+    file_column: str = "file_name",
+    configured: Sequence[str] | None = None,
+) -> DataFrame:
     """Add `batch_id` and the `file_id` of the row's file.
 
     `file_ids(<file_column>, file_id)` has one row per file; rows of one file are many, so its hot
-    keys are spread when the list is too long to broadcast.
+    keys are spread when the list is too long to broadcast. With a list of `configured` columns
+    the tags are added only if it names both.
     """
+    if configured is not None and not {"batch_id", "file_id"} <= {c.lower() for c in configured}:
+        return df
     tagged = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     return lookup_join(tagged, file_ids, [file_column], "left")

@@ -312,6 +312,18 @@ def _(spark, sf):
     return table(spark, sf, "part").select("p_partkey", added.cast("bigint").alias("new_size"))
 
 
+@query(
+    "c02_vectorized_function",
+    """SELECT p_partkey, CAST(p_size + CASE p_type WHEN 'ECONOMY' THEN 10 WHEN 'PROMO' THEN 20 ELSE 30 END AS BIGINT) AS new_size FROM part""",
+)
+def _(spark, sf):
+    def add(size, kind):
+        return size + kind.map({"ECONOMY": 10, "PROMO": 20}).fillna(30).astype("int64")
+
+    S.register_vectorized(spark, "tidegate_add", add, "bigint")
+    return spark.sql("SELECT p_partkey, tidegate_add(p_size, p_type) AS new_size FROM {part}", part=table(spark, sf, "part"))
+
+
 WORDS_SQL = r"[w FOR w IN string_split_regex(text, '[ \t\n\r]+') IF w <> '']"
 
 

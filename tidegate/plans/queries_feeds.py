@@ -358,6 +358,15 @@ def _(spark, sf):
     return stitched.withColumn("c_acctbal", F.round("c_acctbal", 2))
 
 
+@query(
+    "d01_latest_successful_batch",
+    """SELECT CAST(MAX(o_orderkey) AS BIGINT) AS batch_id FROM orders WHERE o_totalprice >= 50000""",
+)
+def _(spark, sf):
+    log = derived(spark, sf, "file_events").select(F.col("logged_at").alias("batch_id"), "status")
+    return D.latest_successful_batch(log)
+
+
 @query(
     "d02_scd2_defaults",
     "SELECT p_partkey, CAST(19000101 AS BIGINT) AS start_dt_wid, CAST(29991231 AS BIGINT) AS end_dt_wid FROM part",

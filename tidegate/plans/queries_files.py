@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators import columns as P
+from tidegate.operators.feeds import observe_count
 from tidegate.plans.inputs import derived, table
 from tidegate.plans.jobs import run_jobs
-from tidegate.plans.queries_feeds import CHAIN_SQL, HIERARCHY_SQL, MAX_LEVELS  # noqa: F401
+from tidegate.plans.queries_feeds import HIERARCHY_SQL, MAX_LEVELS
 from tidegate.plans.registry import query
 from tidegate.session import scratch_path
 from tidegate.sources import catalog as C
@@ -106,6 +107,15 @@ def _(spark, sf):
     return table(spark, sf, "orders").join(F.broadcast(names), "o_orderstatus").select("o_orderkey", "meaning")
 
 
+@query("f14_observed_count", "SELECT COUNT(*) AS stored, COUNT(*) AS observed FROM lineitem")
+def _(spark, sf):
+    path = scratch_path(spark, "counted")
+    counted, seen = observe_count(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    counted.write.parquet(path)
+    stored = R.count_rows(spark.read.parquet(path))
+    return stored.select(F.col("row_count").alias("stored"), F.lit(seen.get["record_count"]).cast("bigint").alias("observed"))
+
+
 @query("s10_count_rows", "SELECT COUNT(*) AS row_count FROM lineitem")
 def _(spark, sf):
     return R.count_rows(table(spark, sf, "lineitem"))
@@ -369,6 +379,16 @@ def _(spark, sf):
     return spark.read.parquet(target)
 
 
+@query(
+    "i03_reset_to_run",
+    "SELECT file_name FROM feed_files WHERE file_name NOT IN (SELECT file_name FROM feed_log WHERE substr(file_name, 10, 4) <= '1997')",
+    inputs=("feed_files", "feed_log"),
+)
+def _(spark, sf):
+    bookmark = derived(spark, sf, "feed_log").select(F.substring("file_name", 10, 4).cast("int").alias("run_id"), "file_name")
+    return I.unread_files(derived(spark, sf, "feed_files"), I.reset_bookmark(bookmark, 1997))
+
+
 LANDING_RULES = [
     {"column_name": "name_raw", "function_name": "trim", "function_params": None},
     {"column_name": "name_raw", "function_name": "blank_conversion", "function_params": None},

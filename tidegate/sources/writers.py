@@ -52,6 +52,11 @@ def publish(df: DataFrame, path: str, handle_empty: bool, by: Sequence[str] = ("
     return True
 
 
+def publish_location(landing: str, post_dq: str, handle_empty: bool) -> str:
+    """Where the publish step reads a batch: landing when empty files are handled, else after the checks."""
+    return landing if handle_empty else post_dq
+
+
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, one_file: bool = False) -> None:
     """CSV with header, optionally partitioned by key; one file only on request and for small results."""
     out = _single(df) if one_file else df

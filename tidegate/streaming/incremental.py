@@ -58,6 +58,16 @@ def ingest_new_files(stream: DataFrame, target: str, bookmark: str) -> None:
     query.awaitTermination()
 
 
+def unread_files(listing: DataFrame, bookmark: DataFrame) -> DataFrame:
+    """Files of a listing that no run of `bookmark(run_id, file_name)` has read."""
+    return listing.join(bookmark.select("file_name").distinct(), "file_name", "left_anti")
+
+
+def reset_bookmark(bookmark: DataFrame, run_id) -> DataFrame:
+    """The bookmark as it stood after the given run, so that later files are read again."""
+    return bookmark.filter(F.col("run_id") <= F.lit(run_id))
+
+
 def _each_batch(stream: DataFrame, bookmark: str, handle: Callable[[DataFrame, int], None]) -> None:
     query = (
         stream.writeStream.foreachBatch(handle)
