@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.operators.ordering import number_rows
+from tidegate.session import cut_lineage
+
 LINEAGE_COLUMNS = ("PT_BATCH_ID", "PT_FILE_ID")
 
 
@@ -115,11 +118,7 @@ def evolve_metadata(metadata: DataFrame, drift: DataFrame) -> DataFrame:
     and file id columns are never added. Column lists are small by nature, so the numbering window
     is per dataset.
     """
-    from tidegate.operators.ordering import number_rows
-
-    from pyspark.sql import Window
-
-    fresh = drift.filter(~F.col("column_name").isin(*LINEAGE_COLUMNS))
+    fresh = cut_lineage(drift.filter(~F.col("column_name").isin(*LINEAGE_COLUMNS)))
     last = metadata.groupBy("dataset_id").agg(F.max("column_sequence_number").alias("last_seq"))
     top_id = metadata.agg(F.coalesce(F.max("column_id"), F.lit(0)).cast("bigint").alias("m")).scalar()
     numbered = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.operators.ordering import dense_rank_of, number_rows
 from tidegate.operators.skew import bounded_broadcast, lookup_join, null_safe_key
 from tidegate.operators.relational import latest_per
+from tidegate.session import cut_lineage
 
 FAILED, SUCCEEDED, SKIPPED, RUNNING = "FAILED", "SUCCEEDED", "SKIPPED", "IN PROGRESS"
 
@@ -185,7 +186,7 @@ def file_batch_order(files: DataFrame, pattern: str, multiple: bool = True) -> D
 
 def assign_ids(files: DataFrame, last_batch_id: int, last_file_id: int) -> DataFrame:
     """Batch ids continue from `last_batch_id` by batch order, file ids from `last_file_id` by name."""
-    numbered = number_rows(files, ["batch_order", "file_name"], "file_id", last_file_id + 1)
+    numbered = number_rows(cut_lineage(files), ["batch_order", "file_name"], "file_id", last_file_id + 1)
     return numbered.withColumn("batch_id", (F.col("batch_order") + last_batch_id).cast("bigint"))
 
 

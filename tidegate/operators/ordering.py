@@ -86,7 +86,10 @@ def number_rows(
     start: int | Column = 1,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Contiguous numbers from `start` in the order of the (unique) business key `order`."""
+    """Contiguous numbers from `start` in the order of the (unique) business key `order`.
+
+    `df` is read several times (cuts, counts, rows): store a costly input first.
+    """
     chunked = with_chunk(df, order, rows_per_chunk)
     counts = chunked.groupBy(_CHUNK).agg(F.count(F.lit(1)).alias("__n"))
     offsets = _running_offsets(counts, "__n", "__before")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.operators.skew import balanced_join, lookup_join, null_safe_key
+from tidegate.operators.skew import balanced_join, lookup_join
 
 CRITICAL = "critical"
 ERROR_SCHEMA = "row_id bigint, rule_id string, column_name string, value string, severity string"
@@ -139,6 +139,31 @@ def dq_filter(df: DataFrame, errors: DataFrame, row_id: str = "row_id", require_
     return clean
 
 
+def passing_rows(
+    df: DataFrame,
+    rules: Sequence[Mapping],
+    row_id: str = "row_id",
+    references: Mapping[str, DataFrame] | None = None,
+    require_rows: bool = True,
+) -> DataFrame:
+    """The rows `dq_filter(df, dq_check(df, rules))` keeps, without moving the table where it can.
+
+    Critical row rules become a filter of the scan; only critical `unique` and `referential` rules
+    need the join with their errors.
+    """
+    critical = [r for r in rules if r.get("severity", CRITICAL) == CRITICAL]
+    clean = df
+    for rule in critical:
+        if rule["check"] in ROW_CHECKS:
+            clean = clean.filter(F.coalesce(_passes(rule), F.lit(True)))
+    by_table = [r for r in critical if r["check"] in TABLE_CHECKS]
+    if by_table:
+        return dq_filter(clean, dq_check(df, by_table, row_id, references), row_id, require_rows)
+    if require_rows and clean.isEmpty():
+        raise NoRowsLeft("no rows left after the quality checks")
+    return clean
+
+
 @dataclass(frozen=True)
 class Reconciliation:
     """Result frames of one comparison; `compared` has one row per key of either side."""
@@ -155,17 +180,15 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], columns
     """Compare a source extract with the loaded table.
 
     Keys that occur several times on a side are reported, then one copy per key (the smallest by
-    all columns) is compared. Both sides are reduced to unique keys before the only join; null keys
-    match each other.
+    all columns) is compared. Both sides meet in one aggregation by key, so there is one shuffle, a
+    hot key is combined before it, and null keys match each other.
     """
-
-    def reduced(df: DataFrame, side: str) -> DataFrame:
-        low = F.min(F.struct(*[F.col(c) for c in columns])).alias(side)
-        grouped = df.groupBy(null_safe_key(keys).alias("__key"))
-        return grouped.agg(F.count(F.lit(1)).alias(f"n_{side}"), low)
-
-    compared = reduced(source, "s").join(reduced(target, "t"), "__key", "full_outer").select(
-        "__key.*", F.coalesce("n_s", F.lit(0)).alias("n_s"), F.coalesce("n_t", F.lit(0)).alias("n_t"), "s", "t"
+    picked = [*keys, *columns]
+    both = source.select(*picked, F.lit("s").alias("__side")).unionByName(target.select(*picked, F.lit("t").alias("__side")))
+    row = F.struct(*[F.col(c) for c in columns])
+    compared = both.groupBy(*keys).agg(
+        *[F.count_if(F.col("__side") == side).alias(f"n_{side}") for side in ("s", "t")],
+        *[F.min(F.when(F.col("__side") == side, row)).alias(side) for side in ("s", "t")],
     )
     in_both = (F.col("n_s") > 0) & (F.col("n_t") > 0)
     differing = F.filter(

@@ -173,8 +173,22 @@ def append_rows(df: DataFrame, rows: Sequence[tuple], columns: Sequence[str]) ->
     return df.unionByName(typed, allowMissingColumns=True)
 
 
+def _by_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows with the sides that hold them: 1 left, 2 right, 3 both."""
+    both = left.withColumn("__sides", F.lit(1)).union(right.withColumn("__sides", F.lit(2)))
+    return both.groupBy(*left.columns).agg(F.bit_or("__sides").alias("__sides"))
+
+
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows found on exactly one side, with one shuffle; the sides may hold copies."""
-    columns = left.columns
-    both = left.withColumn("__side", F.lit(1)).union(right.withColumn("__side", F.lit(2)))
-    return both.groupBy(*columns).agg(F.bit_or("__side").alias("__sides")).filter("__sides < 3").drop("__sides")
+    return _by_side(left, right).filter("__sides < 3").drop("__sides")
+
+
+def difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of the left side that the right side lacks."""
+    return _by_side(left, right).filter("__sides = 1").drop("__sides")
+
+
+def common(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows found on both sides."""
+    return _by_side(left, right).filter("__sides = 3").drop("__sides")

@@ -13,7 +13,7 @@ from tidegate.operators.ordering import number_rows
 from tidegate.operators.standardize import standardize
 from tidegate.plans.inputs import derived, table
 from tidegate.plans.registry import query
-from tidegate.session import scratch_path
+from tidegate.session import cut_lineage, scratch_path
 
 FEED_OF = "regexp_replace(regexp_replace({c}, '^(.+)\\.[^.]+$', '\\1'), '(^|_)[0-9]+$', '')"
 NAME_FEED = FEED_OF.format(c="file_name")
@@ -245,7 +245,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = derived(spark, sf, "file_events").select(F.col("logged_at").alias("o_orderkey"), "file_name")
-    ids = number_rows(derived(spark, sf, "feed_files"), ["file_name"], "file_id")
+    ids = number_rows(cut_lineage(derived(spark, sf, "feed_files")), ["file_name"], "file_id")
     return X.tag_lineage(rows, 7, ids)
 
 
@@ -468,6 +468,18 @@ def _(spark, sf):
     return M.dq_filter(feed, errors).select("c_custkey", "name_raw", "seg_raw")
 
 
+@query(
+    "m03_passing_rows",
+    f"WITH {DQ_SQL} SELECT c_custkey, name_raw, seg_raw FROM customer_feed WHERE c_custkey NOT IN (SELECT row_id FROM failed WHERE severity = 'critical' OR rule_id = 'r8')",
+    inputs=_FEED,
+)
+def _(spark, sf):
+    feed = derived(spark, sf, "customer_feed").withColumn("row_id", F.col("c_custkey"))
+    rules = [dict(r, severity="critical") if r["rule_id"] == "r8" else r for r in DQ_RULES]
+    kept = M.passing_rows(feed, rules, references={"orders": table(spark, sf, "orders")})
+    return kept.select("c_custkey", "name_raw", "seg_raw")
+
+
 COMPARE_SQL = """
   t0 AS (SELECT o_orderkey, o_custkey, round(o_totalprice, 2) AS o_totalprice, o_orderstatus,
          row_number() OVER (PARTITION BY o_orderkey ORDER BY o_custkey, o_totalprice, o_orderstatus NULLS FIRST) AS r,
@@ -589,8 +601,7 @@ FLOW_RULES = [
 def _(spark, sf):
     feed = derived(spark, sf, "customer_feed").withColumn("row_id", F.col("c_custkey"))
     standard = standardize(feed, STANDARD_RULES)
-    errors = M.dq_check(standard, FLOW_RULES)
-    clean = M.dq_filter(standard, errors)
+    clean = M.passing_rows(standard, FLOW_RULES)
     typed = P.apply_schema(clean, CLEAN_SCHEMA).select(
         "c_custkey", F.col("name_raw").alias("name"), F.col("bal_raw").cast("double").alias("balance"),
         F.col("joined_raw").cast("string").alias("joined"), F.col("addr_raw").alias("zip"), F.col("seg_raw").alias("segment"),

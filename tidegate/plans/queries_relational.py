@@ -331,9 +331,8 @@ def _(spark, sf):
 _TOKENS = "SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM {t}"
 
 
-def _tokens(spark, sf, name, distinct=True):
-    words = table(spark, sf, name).select(F.explode(F.split("text", " ")).alias("word"))
-    return words.distinct() if distinct else words
+def _tokens(spark, sf, name):
+    return table(spark, sf, name).select(F.explode(F.split("text", " ")).alias("word"))
 
 
 @query(
@@ -342,16 +341,16 @@ def _tokens(spark, sf, name, distinct=True):
         (SELECT word FROM a EXCEPT SELECT word FROM b) UNION ALL (SELECT word FROM b EXCEPT SELECT word FROM a)""",
 )
 def _(spark, sf):
-    return R.symmetric_difference(_tokens(spark, sf, "documents", False), _tokens(spark, sf, "benchmark", False))
+    return R.symmetric_difference(_tokens(spark, sf, "documents"), _tokens(spark, sf, "benchmark"))
 
 
 @query(
     "u03_difference",
-    "SELECT o_custkey AS k FROM orders EXCEPT ALL SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'",
+    "SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'",
 )
 def _(spark, sf):
     c = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey")
-    return table(spark, sf, "orders").select(F.col("o_custkey").alias("k")).exceptAll(c)
+    return R.difference(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), c)
 
 
 @query("u04_union_distinct", "SELECT l_orderkey AS k FROM lineitem UNION SELECT o_orderkey FROM orders")
@@ -365,4 +364,4 @@ def _(spark, sf):
     f"WITH a AS ({_TOKENS.format(t='documents')}), b AS ({_TOKENS.format(t='conversations')}) SELECT word FROM a INTERSECT SELECT word FROM b",
 )
 def _(spark, sf):
-    return _tokens(spark, sf, "documents").intersect(_tokens(spark, sf, "conversations"))
+    return R.common(_tokens(spark, sf, "documents"), _tokens(spark, sf, "conversations"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidegate.operators.columns import add_row_id
 from tidegate.operators.dimensions import stitch_scd1
-from tidegate.operators.quality import dq_check, dq_filter
+from tidegate.operators.quality import dq_check, passing_rows
 from tidegate.operators.standardize import standardize
 
 
@@ -96,10 +96,8 @@ def stream_landing(
     def handle(batch: DataFrame, batch_id: int) -> None:
         clean = standardize(add_row_id(batch, "row_id", key), rules).persist()
         try:
-            found = dq_check(clean, checks)
-            found.write.mode("overwrite").parquet(f"{errors}/batch_id={batch_id}")
-            kept = dq_filter(clean, clean.sparkSession.read.parquet(f"{errors}/batch_id={batch_id}"), require_rows=False)
-            kept.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            dq_check(clean, checks).write.mode("overwrite").parquet(f"{errors}/batch_id={batch_id}")
+            passing_rows(clean, checks, require_rows=False).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
         finally:
             clean.unpersist()
 
