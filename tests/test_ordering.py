@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of
 from tidegate.operators import ordering as W
 
-CHUNKS = [3, 17, 10_000]
+CHUNKS = [1, 7, 90]
 
 
 def _rows(seed, n=300, groups=4):
@@ -46,7 +46,7 @@ def test_dense_rank(spark, size):
 
 def test_dense_rank_keeps_null(spark):
     df = spark.createDataFrame([(5,), (None,), (7,), (5,)], "x int")
-    got = sorted(((r["x"], r["r"]) for r in W.dense_rank_of(df, "x", "r", 1).collect()), key=str)
+    got = sorted(((r["x"], r["r"]) for r in W.dense_rank_of(df, "x", "r", 3).collect()), key=str)
     assert got == sorted([(5, 1), (5, 1), (7, 2), (None, None)], key=str)
 
 
@@ -101,7 +101,15 @@ def test_append_with_keys_from_empty(spark):
 
 def test_numbering_moves_no_table_to_one_task(spark):
     orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderdate", "o_orderkey")
-    plan = plan_of(W.number_rows(orders, ["o_orderdate", "o_orderkey"], rows_per_chunk=1000))
-    head = plan.split("SinglePartition")[0]
-    # Only the per-chunk summary (one row per chunk) is brought together.
-    assert "__chunk" in head and plan.count("SinglePartition") <= 1
+    plan = plan_of(W.number_rows(orders, ["o_orderdate", "o_orderkey"], chunks=15))
+    # The rows are read as stored; only the chunk sizes (one row per chunk) are brought together.
+    assert plan.count("SinglePartition") == 1 and "Sort" not in plan.split("BroadcastExchange")[0]
+
+
+def test_chunks_are_ranges_of_a_hot_group(spark):
+    df = spark.range(2000).select(F.lit(1).alias("g"), "id")
+    stored = W.stored_in_order(df, ["g", "id"], 10)
+    sizes = [r["count"] for r in stored.groupBy("__chunk").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 600 and sum(sizes) == 2000
+    ends = stored.groupBy("__chunk").agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("__chunk").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(ends, ends[1:]))

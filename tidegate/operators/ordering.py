@@ -1,76 +1,52 @@
 """Order-based operators that need no unbounded window.
 
-A global or per-group order is cut into ranges ("chunks") of the full sort key, whatever the size of
-a group. Windows run inside a chunk; what crosses a chunk border is a summary of one row per chunk.
-The cut points are read once and become a constant of the plan, so every branch and every retried
-task sees the same chunks.
+A global or per-group order is cut into ranges of the full sort key ("chunks") by Spark's range
+partitioning, whatever the size of a group. The chunk of a row and its position there are stored
+with the row in the shared folder, so every later branch and every retried task sees the same ones.
+Windows run inside a chunk; what crosses a chunk border is a summary of one row per chunk.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidegate.operators.skew import lookup_join
-from tidegate.session import cut_lineage
+from tidegate.session import scratch_path
 
-ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 32_768
-SAMPLE_PER_CHUNK = 16
+CHUNKS_PER_PARTITION = 4
 
-_CHUNK = "__chunk"
+_CHUNK, _POS = "__chunk", "__pos"
+# monotonically_increasing_id keeps the partition above this bit and the position below it.
+_PARTITION_BIT = 33
 
 
 def _key(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def cut_points(df: DataFrame, order: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> list:
-    """Sorted sort-key values that split `df` into ranges of about `rows_per_chunk` rows.
+def stored_in_order(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
+    """`df` range-partitioned and sorted by `order`, with the chunk and position of each row.
 
-    Returned as a bounded list (below `MAX_CHUNKS`); approximate cuts only affect balance.
+    Chunks follow each other in the order. Their number follows `spark.sql.shuffle.partitions`.
+    Rows with equal sort keys share a chunk, so `order` should identify a row.
     """
-    keys = df.select(_key(order).alias("k"))
-    total = keys.count()
-    chunks = min(MAX_CHUNKS, math.ceil(total / rows_per_chunk))
-    if chunks <= 1:
-        return []
-    wanted = SAMPLE_PER_CHUNK * chunks
-    sampled = keys if wanted >= total else keys.sample(fraction=min(1.0, wanted / total), seed=11)
-    step = SAMPLE_PER_CHUNK if wanted < total else max(1, total // chunks)
-    picked = sampled.agg(F.array_sort(F.collect_set("k")).alias("ks")).select(
-        F.expr(f"filter(ks, (k, i) -> i > 0 AND i % {step} = 0)").alias("ks")
-    )
-    return list(picked.first()["ks"])
-
-
-def with_chunk(df: DataFrame, order: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Add the chunk number: how many cut points are at or below the row's sort key."""
-    cuts = cut_points(df, order, rows_per_chunk)
-    if not cuts:
-        return df.withColumn(_CHUNK, F.lit(0))
-    key_type = df.select(_key(order).alias("k")).schema["k"].dataType
-    schema = T.StructType([T.StructField("cuts", T.ArrayType(key_type))])
-    constant = df.sparkSession.createDataFrame([(cuts,)], schema).select(F.sort_array("cuts")).scalar()
-    levels = [1 << b for b in range(len(cuts).bit_length() - 1, -1, -1)]
-    # Binary search: take each power-of-two step while the cut point reached is not above the key.
-    position = F.aggregate(
-        F.array(*[F.lit(step) for step in levels]),
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.lit(len(cuts))) & (F.get(F.col("__cuts"), at + step - 1) <= F.col("__key")), at + step
-        ).otherwise(at),
-    )
-    return (
-        df.withColumn("__cuts", constant)
-        .withColumn("__key", _key(order))
-        .withColumn(_CHUNK, position)
-        .drop("__cuts", "__key")
-    )
+    spark = df.sparkSession
+    n = chunks or CHUNKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()
+    path = scratch_path(spark, "ordered")
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__place", place).select(
+        *df.columns,
+        F.shiftright("__place", _PARTITION_BIT).cast("int").alias(_CHUNK),
+        F.col("__place").bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1)).alias(_POS),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _chunk_sizes(stored: DataFrame) -> DataFrame:
+    return stored.groupBy(_CHUNK).agg(F.count(F.lit(1)).alias("__n"))
 
 
 def _running_offsets(per_chunk: DataFrame, amount: str, name: str) -> DataFrame:
@@ -84,35 +60,33 @@ def number_rows(
     order: Sequence[str],
     name: str = "row_num",
     start: int | Column = 1,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Contiguous numbers from `start` in the order of the (unique) business key `order`.
 
-    `df` is read several times (cuts, counts, rows): store a costly input first.
+    One range shuffle, no window over rows: a number is the position in the chunk plus the sizes of
+    the chunks before.
     """
-    chunked = with_chunk(df, order, rows_per_chunk)
-    counts = chunked.groupBy(_CHUNK).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = _running_offsets(counts, "__n", "__before")
-    inside = F.row_number().over(Window.partitionBy(_CHUNK).orderBy(*order))
+    stored = stored_in_order(df, order, chunks)
+    offsets = _running_offsets(_chunk_sizes(stored), "__n", "__before")
     first = start if isinstance(start, Column) else F.lit(start)
     return (
-        chunked.withColumn("__inside", inside)
-        .join(F.broadcast(offsets), _CHUNK, "left")
-        .withColumn(name, (F.col("__inside") + F.col("__before") - 1 + first).cast("bigint"))
-        .drop("__inside", "__before", _CHUNK)
+        stored.join(F.broadcast(offsets), _CHUNK, "left")
+        .withColumn(name, (F.col(_POS) + F.col("__before") + first).cast("bigint"))
+        .select(*[c for c in df.columns if c != name], name)
     )
 
 
 def dense_rank_of(
-    df: DataFrame, value: str, name: str = "rank", rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, value: str, name: str = "rank", chunks: int | None = None
 ) -> DataFrame:
     """Dense rank from 1 of a value over the whole table; null values keep a null rank.
 
-    The distinct values are stored and numbered, then looked up. The lookup is broadcast only when
-    it was counted to be small.
+    The distinct values are numbered, then looked up. The lookup is broadcast only when it was
+    counted to be small.
     """
-    distinct = cut_lineage(df.select(value).filter(F.col(value).isNotNull()).distinct())
-    ranks = number_rows(distinct, [value], name, 1, rows_per_chunk)
+    distinct = df.select(value).filter(F.col(value).isNotNull()).distinct()
+    ranks = number_rows(distinct, [value], name, 1, chunks)
     return lookup_join(df, ranks, [value], "left")
 
 
@@ -122,24 +96,24 @@ def with_previous(
     order: Sequence[str],
     carry: Sequence[str],
     name: str = "prev",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    keep_chunk: bool = False,
+    chunks: int | None = None,
+    keep_place: bool = False,
 ) -> DataFrame:
     """Add struct `name` with the `carry` columns of the preceding row of the same group, else null.
 
     `group + order` must identify a row. A group may span many chunks.
     """
     full = [*group, *order]
-    extra = [c for c in carry if c not in full]
-    row = F.struct(*[F.col(c) for c in full], *[F.col(c) for c in extra])
-    chunked = with_chunk(df, full, rows_per_chunk)
-    last = chunked.groupBy(_CHUNK).agg(F.max(row).alias("__last"))
+    stored = stored_in_order(df, full, chunks)
+    row = F.struct(*[F.col(c) for c in dict.fromkeys([*group, *carry])])
+    ends = F.broadcast(_chunk_sizes(stored))
+    last = stored.join(ends, _CHUNK).filter(F.col(_POS) == F.col("__n") - 1).select(_CHUNK, row.alias("__last"))
     border = last.select(
         _CHUNK, F.lag("__last").over(Window.partitionBy(F.lit(0)).orderBy(_CHUNK)).alias("__border")
     )
-    inside = F.lag(row).over(Window.partitionBy(_CHUNK).orderBy(*full))
+    inside = F.lag(row).over(Window.partitionBy(_CHUNK).orderBy(_POS))
     joined = (
-        chunked.withColumn("__row", inside)
+        stored.withColumn("__row", inside)
         .join(F.broadcast(border), _CHUNK, "left")
         .withColumn("__row", F.coalesce("__row", "__border"))
     )
@@ -147,8 +121,8 @@ def with_previous(
     for g in group:
         same = same & F.col(f"__row.{g}").eqNullSafe(F.col(g))
     picked = F.when(same, F.struct(*[F.col(f"__row.{c}").alias(c) for c in carry]))
-    result = joined.withColumn(name, picked).drop("__row", "__border")
-    return result if keep_chunk else result.drop(_CHUNK)
+    place = [_CHUNK, _POS] if keep_place else []
+    return joined.select(*df.columns, picked.alias(name), *place)
 
 
 def run_lengths(
@@ -156,7 +130,7 @@ def run_lengths(
     group: Sequence[str],
     order: Sequence[str],
     value: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Lengths of runs of equal consecutive values per group.
 
@@ -165,14 +139,14 @@ def run_lengths(
     full = [*group, *order]
     prior = with_previous(
         df.select(*full, *([value] if value not in full else [])),
-        group, order, [value], "__prev", rows_per_chunk, keep_chunk=True,
+        group, order, [value], "__prev", chunks, keep_place=True,
     )
     starts = prior.withColumn(
         "__start",
         F.when(F.col("__prev").isNotNull() & F.col(f"__prev.{value}").eqNullSafe(F.col(value)), 0).otherwise(1),
     ).drop("__prev")
     offsets = _running_offsets(starts.groupBy(_CHUNK).agg(F.sum("__start").alias("__n")), "__n", "__before")
-    upto = Window.partitionBy(_CHUNK).orderBy(*full).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(_CHUNK).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
     runs = (
         starts.withColumn("__run", F.sum("__start").over(upto))
         .join(F.broadcast(offsets), _CHUNK, "left")
@@ -186,26 +160,26 @@ def run_lengths(
 
 
 def smallest_step(
-    df: DataFrame, group: Sequence[str], value: str, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, group: Sequence[str], value: str, chunks: int | None = None
 ) -> DataFrame:
     """Per group, the smallest difference between neighbouring distinct values, with the pair.
 
     Ties go to the lowest pair. Groups with fewer than two distinct values are absent.
     """
-    distinct = cut_lineage(df.select(*group, value).filter(F.col(value).isNotNull()).distinct())
-    pairs = with_previous(distinct, group, [value], [value], "__prev", rows_per_chunk).filter("__prev is not null")
+    distinct = df.select(*group, value).filter(F.col(value).isNotNull()).distinct()
+    pairs = with_previous(distinct, group, [value], [value], "__prev", chunks).filter("__prev is not null")
     low = F.col(f"__prev.{value}")
     best = F.min(F.struct((F.col(value) - low).alias("step"), low.alias("low"), F.col(value).alias("high")))
     return pairs.groupBy(*group).agg(best.alias("b")).select(*group, "b.step", "b.low", "b.high")
 
 
 def missing_integers(
-    df: DataFrame, group: Sequence[str], value: str, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, group: Sequence[str], value: str, chunks: int | None = None
 ) -> DataFrame:
     """Integers absent between the lowest and highest value of each group."""
     number = F.col(value).cast("bigint").alias(value)
-    distinct = cut_lineage(df.select(*group, number).filter(F.col(value).isNotNull()).distinct())
-    gaps = with_previous(distinct, group, [value], [value], "__prev", rows_per_chunk).filter(
+    distinct = df.select(*group, number).filter(F.col(value).isNotNull()).distinct()
+    gaps = with_previous(distinct, group, [value], [value], "__prev", chunks).filter(
         F.col(f"__prev.{value}") < F.col(value) - 1
     )
     return gaps.select(
@@ -220,7 +194,7 @@ def append_with_keys(
     order: Sequence[str],
     constants: dict[str, Column],
     key_type: str = "decimal(10,0)",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Existing rows plus `new` ones numbered on from the highest existing key.
 
@@ -229,6 +203,6 @@ def append_with_keys(
     """
     typed = existing.withColumn(key, F.expr(f"try_cast(`{key}` AS {key_type})"))
     top = typed.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("m")).scalar()
-    numbered = number_rows(new, order, key, top + 1, rows_per_chunk)
+    numbered = number_rows(new, order, key, top + 1, chunks)
     numbered = numbered.withColumns({key: F.expr(f"try_cast(`{key}` AS {key_type})"), **constants})
     return typed.unionByName(numbered.select(*typed.columns))
