@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidegate.operators.skew import lookup_join
 from tidegate.session import scratch_path
 
-CHUNKS_PER_PARTITION = 4
+CHUNKS_PER_PARTITION = 2
 
 _CHUNK, _POS = "__chunk", "__pos"
 # monotonically_increasing_id keeps the partition above this bit and the position below it.
