@@ -43,7 +43,7 @@ def hierarchy(
     slots = F.when(F.col("__wide"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     levels = [level]
     visited = level.select(F.col("id").alias("dst"))
-    with bucketed(mark(named).withColumn("slot", slot).drop("__wide"), ["src", "slot"]) as stored:
+    with bucketed(mark(named).withColumn("slot", slot).drop("__wide"), ["src", "slot"], pairs.count()) as stored:
         for depth in range(1, max_iter + 1):
             parents = level.select(F.col("id").alias("src"), F.col("node").alias("parent"), F.col("path").alias("above"))
             sent = stored.join(mark(parents).withColumn("slot", F.explode(slots)).drop("__wide"), ["src", "slot"])

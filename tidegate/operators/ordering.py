@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from tidegate.operators.skew import lookup_join
 from tidegate.session import scratch_path
 
-CHUNKS_PER_PARTITION = 2
-
 _CHUNK, _POS = "__chunk", "__pos"
 # monotonically_increasing_id keeps the partition above this bit and the position below it.
 _PARTITION_BIT = 33
@@ -30,14 +28,15 @@ def _key(order: Sequence[str]) -> Column:
 def stored_in_order(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
     """`df` range-partitioned and sorted by `order`, with the chunk and position of each row.
 
-    Chunks follow each other in the order. Their number follows `spark.sql.shuffle.partitions`.
+    Chunks follow each other in the order. Without `chunks` there are up to
+    `spark.sql.shuffle.partitions`, and adaptive execution joins neighbours when they are small.
     Rows with equal sort keys share a chunk, so `order` should identify a row.
     """
     spark = df.sparkSession
-    n = chunks or CHUNKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(chunks, *order) if chunks else df.repartitionByRange(*order)
     place = F.monotonically_increasing_id()
     path = scratch_path(spark, "ordered")
-    df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__place", place).select(
+    ranged.sortWithinPartitions(*order).withColumn("__place", place).select(
         *df.columns,
         F.shiftright("__place", _PARTITION_BIT).cast("int").alias(_CHUNK),
         F.col("__place").bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1)).alias(_POS),

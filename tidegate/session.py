@@ -51,15 +51,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
 
 
+ROWS_PER_BUCKET = 250_000
+
+
 @contextmanager
-def bucketed(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> Iterator[DataFrame]:
-    """`df` stored in the shared folder, bucketed by `columns`.
+def bucketed(df: DataFrame, columns: Sequence[str], rows: int) -> Iterator[DataFrame]:
+    """`df` of about `rows` rows, stored in the shared folder and bucketed by `columns`.
 
-    Joins on these columns read the buckets without another shuffle. The catalog entry lives as
-    long as the context, so use it for data that later steps materialise.
+    Joins on these columns read the buckets without another shuffle. There are at most
+    `spark.sql.shuffle.partitions` buckets. The catalog entry lives as long as the context, so use
+    it for data that later steps materialise.
     """
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_PER_BUCKET))
     name = f"tidegate_{uuid.uuid4().hex}"
     stored = df.repartition(n, *columns).write.bucketBy(n, *columns).format("parquet")
     stored.option("path", scratch_path(spark, name)).saveAsTable(name)
