@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from tidegate.plans.catalogue import QUERIES, SQL
 from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,8 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):

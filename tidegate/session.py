@@ -1,11 +1,13 @@
-"""Session set-up and the shared scratch folder."""
+"""Session set-up, the shared folder, and intermediate tables stored in it."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,16 +31,17 @@ def build_session(app: str = "tidegate", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a folder of this machine.
+    On one machine (a `local` or `local[n]` master) an unset folder is replaced by a fresh temporary
+    one, because all tasks share that machine. Everywhere else the setting is required.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="tidegate-")
     spark.sparkContext.setCheckpointDir(local)
@@ -46,9 +49,43 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+_WORKSPACES: ContextVar[tuple[str, ...]] = ContextVar("workspaces", default=())
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A scope for intermediate tables: all that operators store within it is deleted at its end.
+
+    Results that still read such tables must be written or collected inside the scope.
+    """
+    folder = f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}"
+    token = _WORKSPACES.set((*_WORKSPACES.get(), folder))
+    try:
+        yield folder
+    finally:
+        _WORKSPACES.reset(token)
+        delete_path(spark, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
+    """A fresh path below the open workspace, or else below the shared folder."""
+    open_folders = _WORKSPACES.get()
+    top = open_folders[-1] if open_folders else f"{shared_dir(spark)}/scratch"
+    return f"{top}/{uuid.uuid4().hex}/{name}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as Parquet to the shared folder and read it back: lineage is cut, executors may go."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 ROWS_PER_BUCKET = 250_000
@@ -58,12 +95,12 @@ ROWS_PER_BUCKET = 250_000
 def bucketed(df: DataFrame, columns: Sequence[str], rows: int) -> Iterator[DataFrame]:
     """`df` of about `rows` rows, stored in the shared folder and bucketed by `columns`.
 
-    Joins on these columns read the buckets without another shuffle. There are at most
-    `spark.sql.shuffle.partitions` buckets. The catalog entry lives as long as the context, so use
-    it for data that later steps materialise.
+    Joins on these columns read the buckets without another shuffle. The number of buckets follows
+    the rows alone. The catalog entry lives as long as the context, so use it for data that later
+    steps materialise.
     """
     spark = df.sparkSession
-    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_PER_BUCKET))
+    n = max(1, rows // ROWS_PER_BUCKET)
     name = f"tidegate_{uuid.uuid4().hex}"
     stored = df.repartition(n, *columns).write.bucketBy(n, *columns).format("parquet")
     stored.option("path", scratch_path(spark, name)).saveAsTable(name)
