@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidegate.llm.decontamination import contaminated, find_hits, n_hit
 from tidegate.llm.mixing import mix
 from tidegate.llm.registry import QUERIES, SQL, query, table
 
@@ -34,3 +35,38 @@ FROM placed JOIN plans ON placed.source IS NOT DISTINCT FROM plans.source
 def op8_entropy_mix(spark, folder):
     taken = F.col("copies") * F.col("size") + F.col("cut_words")
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+@query("op9_decontamination", sql=r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, LEAST(13, len(w)) AS n, array_to_string(list_slice(w, i, i + LEAST(13, len(w)) - 1), ' ') AS words
+  FROM (SELECT item_id, w, UNNEST(range(1, len(w) - LEAST(13, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+  SELECT doc_id, COALESCE(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), places AS (
+  SELECT doc_id, w, n, UNNEST(range(1, len(w) - n + 2)) AS i FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+), hits AS (
+  SELECT doc_id, i, p.n, item_id FROM places p JOIN windows v ON v.n = p.n AND v.words = array_to_string(list_slice(w, i, i + p.n - 1), ' ')
+), counted AS (
+  SELECT doc_id, COUNT(DISTINCT k) AS n_hit FROM (SELECT doc_id, UNNEST(range(i, i + n)) AS k FROM hits) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, COALESCE(n_hit, 0)::BIGINT AS n_hit, COALESCE(n_items, 0)::BIGINT AS n_items,
+  sha256(COALESCE(items, '')) AS items_sha256, COALESCE(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
+FROM doc_words d LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)
+""")
+def op9_decontamination(spark, folder):
+    found = find_hits(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    hits = F.col("hits")
+    return found.select(
+        "doc_id", hits["n_words"].alias("n_words"), n_hit(hits).alias("n_hit"),
+        F.size(hits["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(hits["items"], ","), 256).alias("items_sha256"),
+        contaminated(hits).alias("contaminated"),
+    )

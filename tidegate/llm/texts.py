@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: The white space that separates words: space and 0x09 to 0x0D, which is what bytes.split() uses.
 SPACES = " \t\n\u000b\f\r"
@@ -28,7 +31,9 @@ def word_count(text: Column) -> Column:
 def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the texts of a slice hold about `most` bytes, but whole rows."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        own = batch.column(column)
+        own = own.field("text") if pa.types.is_struct(own.type) else own
+        lengths = pa.compute.fill_null(pa.compute.binary_length(own), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(lengths.tolist()):
             if held and held + n > most:
@@ -37,3 +42,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8 << 20)
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def annotate(df: DataFrame, text: str, name: str, kind: T.StructType, function: Callable[[list], list[tuple]]) -> DataFrame:
+    """`df` with one more column, the struct `name` that `function` makes of the column `text`.
+
+    `function` gets the texts of a bounded slice (null is passed as None) and returns one tuple each.
+    It runs inside tasks on Arrow batches; rows stay where they are. A name that `df` has is refused.
+    """
+    if name in df.columns:
+        raise ValueError(f"the table already has a column {name}")
+    at = df.columns.index(text)
+    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
+    arrow = to_arrow_type(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, at):
+            rows = function(part.column(at).to_pylist())
+            columns = zip(*rows) if rows else [[] for _ in kind]
+            made = pa.StructArray.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)], fields=list(arrow))
+            yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
+
+    return df.mapInArrow(run, schema)
