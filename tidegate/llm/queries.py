@@ -6,11 +6,21 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.decontamination import contaminated, find_hits, n_hit
 from tidegate.llm.mixing import mix
+from tidegate.llm.quality_rules import fit_quality, stored_statistics
 from tidegate.llm.registry import QUERIES, SQL, query, table
+from tidegate.llm.texts import crc_mod
 
 __all__ = ["QUERIES", "SQL"]
 
 
+@query("op1_quality_rules")
+def op1_quality_rules(spark, folder):
+    stats, names = stored_statistics(table(spark, folder, "documents"))
+    model = fit_quality(stats, names, table(spark, folder, "labels"))
+    scored = stats.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), model.score({n: F.col(n) for n in names}).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query("op8_entropy_mix", sql=r"""
 WITH sized AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5(CAST(doc_id AS VARCHAR)) AS place FROM documents
