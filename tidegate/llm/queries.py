@@ -8,6 +8,7 @@ from tidegate.llm.decontamination import contaminated, find_hits, n_hit
 from tidegate.llm.mixing import mix
 from tidegate.llm.quality_rules import fit_quality, stored_statistics
 from tidegate.llm.registry import QUERIES, SQL, query, table
+from tidegate.llm.secret_scan import BASE_RULES, find_secrets, listed, of_kinds
 from tidegate.llm.texts import crc_mod
 
 __all__ = ["QUERIES", "SQL"]
@@ -21,6 +22,15 @@ def op1_quality_rules(spark, folder):
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query("op3_secret_scan")
+def op3_secret_scan(spark, folder):
+    found = find_secrets(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", F.col("secrets.found").alias("found"))
+    kinds = [rule.kind for rule in BASE_RULES]
+    counts = [F.size(of_kinds(F.col("found"), [k])).cast("long").alias(f"n_{k}") for k in kinds]
+    base = listed(of_kinds(F.col("found"), kinds))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
 @query("op8_entropy_mix", sql=r"""
 WITH sized AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5(CAST(doc_id AS VARCHAR)) AS place FROM documents
