@@ -9,6 +9,7 @@ from tidegate.llm.mixing import mix
 from tidegate.llm.quality_rules import fit_quality, stored_statistics
 from tidegate.llm.registry import QUERIES, SQL, query, table
 from tidegate.llm.secret_scan import BASE_RULES, find_secrets, listed, of_kinds
+from tidegate.llm.shingle_join import near_duplicates
 from tidegate.llm.texts import crc_mod
 
 __all__ = ["QUERIES", "SQL"]
@@ -31,6 +32,11 @@ def op3_secret_scan(spark, folder):
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
 
 
+@query("op7_shingle_join")
+def op7_shingle_join(spark, folder):
+    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op8_entropy_mix", sql=r"""
 WITH sized AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5(CAST(doc_id AS VARCHAR)) AS place FROM documents
