@@ -10,7 +10,9 @@ from tidegate.llm.quality_rules import fit_quality, stored_statistics
 from tidegate.llm.registry import QUERIES, SQL, query, table
 from tidegate.llm.secret_scan import BASE_RULES, find_secrets, listed, of_kinds
 from tidegate.llm.shingle_join import near_duplicates
+from tidegate.llm.simhash import as_text, compare_with_edits, distance, likeness, neighbours
 from tidegate.llm.texts import crc_mod
+from tidegate.session import store
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -32,6 +34,22 @@ def op3_secret_scan(spark, folder):
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
 
 
+@query("op4_simhash")
+def op4_simhash(spark, folder):
+    rows = store(compare_with_edits(table(spark, folder, "documents").select("doc_id", "text")), "compared")
+    own, edited, following = (F.col("f1"), F.col("f2")), (F.col("e1"), F.col("e2")), (F.col("x1"), F.col("x2"))
+    # Search: documents whose id is divisible by 20 against all; how many others are within 3 bits.
+    asked = rows.filter("doc_id % 20 = 0").select("f1", "f2").distinct()
+    sizes = rows.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n"))
+    near = neighbours(rows, asked).join(sizes, ["f1", "f2"]).groupBy("q1", "q2").agg((F.sum("n") - 1).alias("n_within_3"))
+    counted = rows.join(near, (F.col("f1") == F.col("q1")) & (F.col("f2") == F.col("q2")), "left")
+    return counted.select(
+        "doc_id", "n_chars", "edited_sha256", as_text(*own).alias("fingerprint"), as_text(*edited).alias("edited_fingerprint"),
+        likeness(distance(*own, *edited)).alias("near_edited"), likeness(distance(*own, *following)).alias("near_next"),
+        F.when(F.col("doc_id") % 20 == 0, F.col("n_within_3")).alias("n_within_3"),
+    )
+
+
 @query("op7_shingle_join")
 def op7_shingle_join(spark, folder):
     return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
