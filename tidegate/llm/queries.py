@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.llm.decontamination import contaminated, find_hits, n_hit
+from tidegate.llm.html_text import extract_text
 from tidegate.llm.mixing import mix
 from tidegate.llm.quality_rules import fit_quality, stored_statistics
 from tidegate.llm.registry import QUERIES, SQL, query, table
@@ -25,6 +26,11 @@ def op1_quality_rules(spark, folder):
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query("op2_html_text")
+def op2_html_text(spark, folder):
+    return extract_text(table(spark, folder, "pages").select("page_id", "url", "html")).select("page_id", "url", "main.text", "main.n_chars")
+
+
 @query("op3_secret_scan")
 def op3_secret_scan(spark, folder):
     found = find_secrets(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", F.col("secrets.found").alias("found"))
