@@ -168,19 +168,25 @@ def path_scores(nodes) -> dict[tuple[str, ...], float]:
     return scores
 
 
-def main_text(source: str | None, cut: float = 0.3) -> str:
+def main_blocks(source: str | None, cut: float = 0.3) -> list[str]:
+    """The blocks of content in page order, without empty ones."""
     nodes = Page(source or "").nodes
     scores = path_scores(nodes)
     best = max(scores.values(), default=0.0)
-    pieces: list[str] = []
+    blocks: list[list[str]] = []
     last = None
     for path, _, text, block in nodes:
         if best > 0 and scores.get(path, 0.0) >= cut * best:
-            if block != last and pieces:
-                pieces.append(" ")
-            pieces.append(text)
+            if block != last:
+                blocks.append([])
+            blocks[-1].append(text)
             last = block
-    return " ".join("".join(pieces).split())
+    joined = (" ".join("".join(b).split()) for b in blocks)
+    return [b for b in joined if b]
+
+
+def main_text(source: str | None, cut: float = 0.3) -> str:
+    return " ".join(main_blocks(source, cut))
 
 
 EXTRACTED = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])

@@ -14,6 +14,7 @@ from tidegate.llm.secret_scan import BASE_RULES, find_secrets, listed, of_kinds
 from tidegate.llm.shingle_join import near_duplicates
 from tidegate.llm.simhash import as_text, compare_with_edits, distance, likeness, neighbours
 from tidegate.llm.texts import crc_mod
+from tidegate.llm.url_reputation import host_reputation, judge_urls, page_outcomes
 from tidegate.session import store
 
 __all__ = ["QUERIES", "SQL"]
@@ -130,3 +131,11 @@ def op9_decontamination(spark, folder):
         F.sha2(F.array_join(hits["items"], ","), 256).alias("items_sha256"),
         contaminated(hits).alias("contaminated"),
     )
+
+
+@query("op10_url_reputation")
+def op10_url_reputation(spark, folder):
+    pages = table(spark, folder, "pages")
+    reputation = host_reputation(page_outcomes(pages, table(spark, folder, "documents"), table(spark, folder, "labels")))
+    judged = judge_urls(pages.select("page_id", "url"), reputation)
+    return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict", "judged.bound")
