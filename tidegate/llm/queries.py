@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.chat_format import format_chats, read_back
 from tidegate.llm.decontamination import contaminated, find_hits, n_hit
+from tidegate.llm.hmm import score_texts
 from tidegate.llm.html_text import extract_text
 from tidegate.llm.mixing import mix
 from tidegate.llm.quality_rules import NAMES, fit_quality, stored_statistics
@@ -67,6 +68,11 @@ def op5_chat_format(spark, folder):
     return read_back(format_chats(turns.unionByName(planted)))
 
 
+@query("op6_hmm_score")
+def op6_hmm_score(spark, folder):
+    return score_texts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op7_shingle_join")
 def op7_shingle_join(spark, folder):
     return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
