@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -110,6 +113,23 @@ def bucketed(df: DataFrame, columns: Sequence[str], rows: int) -> Iterator[DataF
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where the job was not submitted with it.
+
+    Nothing is sent if the workers find it by themselves: through PYTHONPATH or the working folder.
+    """
+    root = Path(__file__).resolve().parent.parent
+    found = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if any(p and Path(p).resolve() == root for p in found) or getattr(spark.sparkContext, "_tidegate_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidegate-")) / "tidegate.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted((root / "tidegate").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    spark.sparkContext._tidegate_shipped = True
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder, so that lost executors lose no work."""
     shared_dir(df.sparkSession)
