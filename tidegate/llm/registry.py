@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegate.session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
     def add(function):
-        QUERIES[name] = function
+        @wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
         return function
