@@ -113,6 +113,13 @@ def bucketed(df: DataFrame, columns: Sequence[str], rows: int) -> Iterator[DataF
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def discard(stored: DataFrame) -> None:
+    """Delete what `store` wrote for this frame, once nothing reads it any more."""
+    files = stored.inputFiles()
+    if files:
+        delete_path(stored.sparkSession, files[0].rpartition("/")[0])
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package where the job was not submitted with it.
 
