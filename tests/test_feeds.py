@@ -70,6 +70,27 @@ def test_header_repair_threshold(spark):
     assert got == [("1", "2", "3", "4", "5"), ("6", "7", "8", "9", "10"), ("a", "W", "X", "Y", "Z")]
 
 
+def test_misfit_names_are_refused(spark):
+    files = spark.createDataFrame([("a_20240131.csv",), ("a_oops.csv",)], "file_name string")
+    ordered = X.file_batch_order(files, "a_YYYYMMDD.csv")
+    assert [r["file_name"] for r in X.misfit_names(ordered).collect()] == ["a_oops.csv"]
+    with pytest.raises(Exception, match="a_oops.csv"):
+        X.assign_ids(ordered, 1, 1).collect()
+
+
+def test_every_missing_feed_is_named(spark):
+    config = spark.createDataFrame([(f"feed{i}", "Y") for i in range(150)], "feed string, mandatory_flag string")
+    with pytest.raises(ValueError) as problem:
+        X.require_feeds(spark.createDataFrame([], "file_name string"), config)
+    assert str(problem.value).count("feed") >= 150
+
+
+def test_header_with_bars(spark):
+    headers = spark.createDataFrame([("f", 1, 'A|"B"')], "file_name string, dataset_id int, header string")
+    metadata = spark.createDataFrame([(1, 1, "A", "Y"), (1, 2, "B", "Y")], "dataset_id int, column_sequence_number int, source_column_name string, header_flag string")
+    assert X.header_mismatch(headers, metadata, "|").count() == 0
+
+
 def test_require_feeds(spark):
     listing = spark.createDataFrame([("a_1.csv",)], "file_name string")
     config = spark.createDataFrame([("a", "Y"), ("b", "Y"), ("c", "N")], "feed string, mandatory_flag string")

@@ -33,6 +33,12 @@ def test_empty_publish(spark):
     assert spark.read.parquet(path).columns == ["x", "file_id"]
     assert K.publish(empty, path + "2", False) is False
     assert not os.path.exists((path + "2").replace("file:", ""))
+    full = spark.createDataFrame([(1, "f")], "x int, file_id string")
+    for flag in (True, False):  # an empty batch replaces what was published there
+        again = scratch_path(spark, "again")
+        assert K.publish(full, again, flag) is True and K.publish(empty, again, flag) is False
+        left = spark.read.parquet(again).count() if flag else int(os.path.exists(again.replace("file:", "")))
+        assert left == 0
 
 
 def test_single_text_file(spark):
@@ -45,10 +51,24 @@ def test_single_text_file(spark):
     K.export_text(df, folder, "people", "2024-01-31", one_file=True)
 
 
-def test_single_file_refuses_large_results(spark, monkeypatch):
-    monkeypatch.setattr(K, "MAX_SINGLE_FILE_ROWS", 5)
-    with pytest.raises(ValueError):
-        K.export_text(spark.range(6), scratch_path(spark, "big"), "n", "d", one_file=True)
+def test_single_file_holds_all_parts_behind_one_header(spark):
+    path = K.export_text(spark.range(1000).repartition(7), scratch_path(spark, "big"), "n", "d", one_file=True)
+    lines = open(path.replace("file:", "")).read().splitlines()
+    assert lines[0] == "ID" and sorted(map(int, lines[1:])) == list(range(1000))
+    plain = scratch_path(spark, "plain.csv")
+    K.write_csv(spark.range(5), plain, one_file=True)
+    assert sorted(open(plain.replace("file:", "")).read().split()) == ["0", "1", "2", "3", "4", "id"]
+
+
+def test_backup_clears_what_is_excluded_or_gone(spark):
+    source, out = scratch_path(spark, "src"), scratch_path(spark, "out")
+    for name in ("a", "b", "c"):
+        spark.range(3).write.parquet(f"{source}/{name}")
+    tables = {n: f"{source}/{n}" for n in ("a", "b", "c")}
+    K.backup_tables(spark, tables, out, "d1")
+    K.backup_tables(spark, {n: tables[n] for n in ("a", "b")}, out, "d2", exclude=["B"])
+    assert sorted(os.listdir(f"{out}/latest".replace("file:", ""))) == ["a"]
+    assert spark.read.parquet(f"{out}/archive/d1/c").count() == 3
 
 
 def test_names():

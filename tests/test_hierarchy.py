@@ -61,8 +61,11 @@ def test_random_graphs(spark, seed):
 def test_edge_cases(spark):
     assert {r["dist"] for r in _expand(spark, [0, 1], []).collect()} == {0.0, math.inf}
     assert {r["dist"] for r in _expand(spark, [1, 2], [(1, 2)]).collect()} == {math.inf}
-    short = {r["id"]: r["dist"] for r in _expand(spark, [0, 1, 2, 3], [(0, 1), (1, 2), (2, 3)], max_iter=2).collect()}
-    assert short == {0: 0.0, 1: 1.0, 2: 2.0, 3: math.inf}
+    line = [0, 1, 2, 3], [(0, 1), (1, 2), (2, 3)]
+    for limit in (None, 3):
+        assert {r["id"]: r["dist"] for r in _expand(spark, *line, max_iter=limit).collect()} == {0: 0.0, 1: 1.0, 2: 2.0, 3: 3.0}
+    with pytest.raises(ValueError, match="beyond 2 levels"):
+        _expand(spark, *line, max_iter=2)
 
 
 def test_two_roots(spark):

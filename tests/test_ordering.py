@@ -99,6 +99,22 @@ def test_append_with_keys_from_empty(spark):
     assert sorted((int(r["key"]), r["name"]) for r in got) == [(1, "a"), (2, "b")]
 
 
+def test_keys_beyond_ten_digits(spark):
+    old = spark.createDataFrame([("9999999999", "x")], "key string, name string")
+    new = spark.createDataFrame([("b",), ("a",)], "name string")
+    got = sorted((r["key"], r["name"]) for r in W.append_with_keys(old, new, "key", ["name"], {}).collect())
+    assert got == [(9999999999, "x"), (10000000000, "a"), (10000000001, "b")]
+    with pytest.raises(Exception, match="not a decimal"):
+        W.append_with_keys(old, new, "key", ["name"], {}, key_type="decimal(10,0)").collect()
+    with pytest.raises(Exception, match="not a bigint"):
+        W.append_with_keys(old.withColumn("key", F.lit("x1")), new, "key", ["name"], {}).collect()
+
+
+def test_a_gap_of_three_thousand_million_is_no_array(spark):
+    gap = W.missing_integers(spark.createDataFrame([(1, 0), (1, 3_000_000_001)], "g int, x bigint"), ["g"], "x")
+    assert sorted(r["missing"] for r in gap.filter("missing < 4 or missing > 2999999998").collect()) == [1, 2, 3, 2999999999, 3000000000]
+
+
 def test_numbering_moves_no_table_to_one_task(spark):
     orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderdate", "o_orderkey")
     plan = plan_of(W.number_rows(orders, ["o_orderdate", "o_orderkey"], chunks=15))

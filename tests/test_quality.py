@@ -84,8 +84,8 @@ def test_remap_guard(spark):
 
 
 def test_pairs(spark):
-    df = spark.createDataFrame([(x,) for x in (2, 5, 3, 4, 1, 6, 10, 9, 5)], "x int")
-    got = sorted(tuple(r) for r in R.pairs_with_sum(df, "x", 7).collect())
-    assert got == [(1, 6, 1), (2, 5, 2), (3, 4, 1)]
-    assert [tuple(r) for r in R.pairs_with_sum(df, "x", 10).filter("low = high").collect()] == [(5, 5, 1)]
-    assert R.pairs_with_sum(df, "x", 20).count() == 0
+    df = spark.createDataFrame([(x,) for x in (8, 11, 3, 16, 14, 5, 30, 8)], "x int")
+    got = sorted(tuple(r) for r in R.pairs_with_sum(df, "x", 19).collect())
+    assert got == [(3, 16, 1), (5, 14, 1), (8, 11, 2)]
+    assert [tuple(r) for r in R.pairs_with_sum(df, "x", 16).filter("low = high").collect()] == [(8, 8, 1)]
+    assert R.pairs_with_sum(df, "x", 99).count() == 0

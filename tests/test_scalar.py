@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pytest
 
 from pyspark.sql import functions as F
 from tests.conftest import plan_of, runs_python
@@ -42,11 +43,21 @@ def test_words(spark):
 
 
 def test_conditional_add_and_message(spark):
-    df = spark.createDataFrame([(1, "Mic"), (1, "Chair"), (1, None)], "n int, l string")
-    got = [r[0] for r in df.select(S.conditional_add(F.col("n"), F.col("l"), {"Mic": 10, "Chair": 20}, 30)).collect()]
-    assert got == [11, 21, 31]
+    df = spark.createDataFrame([(3, "bolt"), (3, "gear"), (3, None)], "n int, l string")
+    got = [r[0] for r in df.select(S.conditional_add(F.col("n"), F.col("l"), {"bolt": 4, "gear": 9}, 50)).collect()]
+    assert got == [7, 12, 53]
     text = spark.createDataFrame([("it's \"bad\" luck",)], "m string").select(S.clean_message(F.col("m"), 8)).first()[0]
-    assert text == "its bad "
+    assert text == "its ba"  # cut first, then freed of quotes
+    whole = spark.createDataFrame([("x" * 5000 + '"',)], "m string").select(S.clean_message(F.col("m"), None)).first()[0]
+    assert whole == "x" * 5000
+
+
+def test_exact_cast_never_gives_null(spark):
+    df = spark.createDataFrame([("12",), (None,)], "k string")
+    assert [r[0] for r in df.select(S.exact_cast(F.col("k"), "int")).collect()] == [12, None]
+    for bad in ("x", "99999999999"):
+        with pytest.raises(Exception, match="not a int"):
+            spark.createDataFrame([(bad,)], "k string").select(S.exact_cast(F.col("k"), "int")).collect()
 
 
 def test_nested_and_dates(spark):

@@ -119,6 +119,14 @@ def reformat_time(text: Column, source: str, target: str) -> Column:
     return F.date_format(parse_time(text, source), target)
 
 
-def clean_message(text: Column, max_length: int = 2000) -> Column:
-    """Log message without quotes, cut at `max_length` characters."""
-    return F.left(F.translate(text, "\"'", ""), F.lit(max_length))
+def clean_message(text: Column, max_length: int | None = 2000) -> Column:
+    """Log message, cut at `max_length` characters (None: not at all), then freed of quotes."""
+    kept = text if max_length is None else F.left(text, F.lit(max_length))
+    return F.translate(kept, "\"'", "")
+
+
+def exact_cast(value: Column, kind: str) -> Column:
+    """`value` as `kind`; a value that does not fit raises, whatever the session's ANSI setting."""
+    cast = value.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"not a {kind}: "), value.cast("string"))).cast(kind)
+    return F.when(value.isNotNull() & cast.isNull(), wrong).otherwise(cast)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators.ordering import number_rows
+from tidegate.session import store
 
 LINEAGE_COLUMNS = ("PT_BATCH_ID", "PT_FILE_ID")
 
@@ -194,11 +195,14 @@ def swap_columns(df: DataFrame, columns: Iterable[str], prefix: str = "new_") ->
 
 
 def add_row_id(df: DataFrame, name: str = "row_id", key: Sequence[str] | None = None) -> DataFrame:
-    """A stable row id: hash of the business key, or of the whole row.
+    """A row id that stays the same however often the result is read.
 
-    With the whole row, exact copies share an id; give a unique `key` where copies must differ.
+    With a unique business `key` it is the key's 128-bit hash as text. Without one, rows are numbered,
+    so exact copies differ, and the numbered table is stored.
     """
-    return df.withColumn(name, F.xxhash64(*(key or df.columns)))
+    if key:
+        return df.withColumn(name, F.md5(F.to_json(F.struct(*key))))
+    return store(df.withColumn(name, F.monotonically_increasing_id()), "row_ids")
 
 
 def stamp(df: DataFrame, created: str = "created_dt", updated: str = "updated_dt") -> DataFrame:

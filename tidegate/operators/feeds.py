@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -38,7 +39,8 @@ def missing_feeds(listing: DataFrame, config: DataFrame) -> DataFrame:
 
 def require_feeds(listing: DataFrame, config: DataFrame) -> None:
     """Raise when a mandatory feed is missing."""
-    names = sorted(r["feed"] for r in missing_feeds(listing, config).select("feed").limit(100).collect())
+    # One short row per configured feed at most; every missing one is named.
+    names = sorted(r["feed"] for r in missing_feeds(listing, config).select("feed").collect())
     if names:
         raise ValueError(f"mandatory feeds are missing: {names}")
 
@@ -89,7 +91,7 @@ def header_mismatch(headers: DataFrame, metadata: DataFrame, separator: str = ",
 
     `headers(file_name, dataset_id, header)`, `metadata(dataset_id, column_sequence_number,
     source_column_name, header_flag)`. Only datasets with flag Y are checked; V (variable) and N
-    are skipped.
+    are skipped. The separator is plain text, and quotes around a header field are not part of its name.
     """
     configured = (
         metadata.filter("header_flag = 'Y'")
@@ -97,7 +99,9 @@ def header_mismatch(headers: DataFrame, metadata: DataFrame, separator: str = ",
         .agg(F.array_sort(F.collect_list(F.struct("column_sequence_number", "source_column_name"))).alias("c"))
         .select("dataset_id", F.transform("c", lambda x: x["source_column_name"]).alias("expected"))
     )
-    compared = lookup_join(headers, configured, ["dataset_id"], "inner").withColumn("actual", F.split("header", separator))
+    compared = lookup_join(headers, configured, ["dataset_id"], "inner")
+    fields = F.split("header", re.escape(separator))
+    compared = compared.withColumn("actual", F.transform(fields, lambda f: F.regexp_replace(f, '^"(.*)"$', "$1")))
     length = F.greatest(F.size("actual"), F.size("expected"))
     return (
         compared.withColumn("pos", F.explode(F.sequence(F.lit(0), length - 1)))
@@ -176,7 +180,8 @@ def file_order_value(file_name: Column, pattern: str) -> Column:
 def file_batch_order(files: DataFrame, pattern: str, multiple: bool = True) -> DataFrame:
     """Add `batch_order`: files with equal dates share a batch, batches count from 1.
 
-    Without `multiple` all files form batch 1. A name that does not fit has a null order.
+    Without `multiple` all files form batch 1. A name that does not fit has a null order; `assign_ids`
+    refuses it, and `misfit_names` lists such files.
     """
     value = file_order_value(F.col("file_name"), pattern) if multiple else F.lit(0)
     ranked = dense_rank_of(files.withColumn("__v", value), "__v", "batch_order")
@@ -184,11 +189,21 @@ def file_batch_order(files: DataFrame, pattern: str, multiple: bool = True) -> D
 
 
 def assign_ids(files: DataFrame, last_batch_id: int, last_file_id: int) -> DataFrame:
-    """Batch ids continue from `last_batch_id` by batch order, file ids from `last_file_id` by name."""
+    """Batch ids continue from `last_batch_id` by batch order, file ids from `last_file_id` by name.
+
+    A file without batch order, because its name does not fit the pattern, is an error.
+    """
+    misfit = F.raise_error(F.concat(F.lit("the file name does not fit its pattern: "), F.col("file_name"))).cast("int")
+    files = files.withColumn("batch_order", F.coalesce("batch_order", misfit))
     numbered = number_rows(files, ["batch_order", "file_name"], "file_id", last_file_id + 1)
     return numbered.withColumn("batch_id", (F.col("batch_order") + last_batch_id).cast("bigint"))
 
 
+def misfit_names(ordered: DataFrame) -> DataFrame:
+    """The files of `file_batch_order` whose names do not fit their pattern."""
+    return ordered.filter("batch_order is null")
+
+
 def unprocessed_sources(control: DataFrame, log: DataFrame) -> DataFrame:
     """Work list without full loads that have already completed; other load types always stay.
 
@@ -230,11 +245,11 @@ def observe_count(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("record_count")), seen
 
 
-def log_status(spark: SparkSession, path: str, rows: DataFrame) -> None:
-    """Append status rows to the audit table; messages are stripped of quotes and cut."""
+def log_status(spark: SparkSession, path: str, rows: DataFrame, max_length: int | None = 2000) -> None:
+    """Append status rows to the audit table; messages are cut at `max_length` and stripped of quotes."""
     from tidegate.functions.scalar import clean_message
 
-    logged = rows.withColumn("message", clean_message(F.col("message"))) if "message" in rows.columns else rows
+    logged = rows.withColumn("message", clean_message(F.col("message"), max_length)) if "message" in rows.columns else rows
     logged.write.mode("append").parquet(path)
 
 

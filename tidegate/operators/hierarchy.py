@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +16,16 @@ def hierarchy(
     edges: DataFrame,
     start_column: str,
     start_value,
-    max_iter: int,
+    max_iter: int | None = None,
     checkpoint_every: int = 2,
     hot_rows: int = HOT_ROWS,
     fraction: float = 0.05,
 ) -> DataFrame:
     """Level and path of every vertex, walking `edges(src, dst)` from the start vertices.
 
-    `vertices(id, node, ...)`; adds `dist` and `path` (start to node). Vertices not reached within
-    `max_iter` levels have `dist` infinity and path `['']`. Of several parents on the level above,
+    `vertices(id, node, ...)`; adds `dist` and `path` (start to node). Levels are added until no new
+    vertex is found. Vertices that cannot be reached have `dist` infinity and path `['']`. If `max_iter`
+    is given and levels remain beyond it, that is an error, not an infinite distance. Of several parents on the level above,
     the one with the lowest node string is taken.
 
     The edges are stored once, bucketed by source, and only the vertices reached last are sent to
@@ -44,7 +47,7 @@ def hierarchy(
     levels = [level]
     visited = level.select(F.col("id").alias("dst"))
     with bucketed(mark(named).withColumn("slot", slot).drop("__wide"), ["src", "slot"], pairs.count()) as stored:
-        for depth in range(1, max_iter + 1):
+        for depth in count(1):
             parents = level.select(F.col("id").alias("src"), F.col("node").alias("parent"), F.col("path").alias("above"))
             sent = stored.join(mark(parents).withColumn("slot", F.explode(slots)).drop("__wide"), ["src", "slot"])
             best = F.min(F.struct("parent", "above", "dst_node"))
@@ -59,6 +62,8 @@ def hierarchy(
             )
             if level.isEmpty():
                 break
+            if max_iter is not None and depth > max_iter:
+                raise ValueError(f"the hierarchy goes on beyond {max_iter} levels")
             levels.append(level)
             visited = visited.union(level.select(F.col("id").alias("dst")))
             if depth % checkpoint_every == 0:

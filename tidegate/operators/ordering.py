@@ -13,12 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.functions.scalar import exact_cast
 from tidegate.operators.skew import lookup_join
 from tidegate.session import scratch_path
 
 _CHUNK, _POS = "__chunk", "__pos"
 # monotonically_increasing_id keeps the partition above this bit and the position below it.
 _PARTITION_BIT = 33
+#: Integers that one task expands from one row.
+GAP_BLOCK = 100_000
 
 
 def _key(order: Sequence[str]) -> Column:
@@ -175,15 +178,24 @@ def smallest_step(
 def missing_integers(
     df: DataFrame, group: Sequence[str], value: str, chunks: int | None = None
 ) -> DataFrame:
-    """Integers absent between the lowest and highest value of each group."""
+    """Integers absent between the lowest and highest value of each group.
+
+    Gaps are cut into blocks of at most `GAP_BLOCK` integers and the blocks are spread over all tasks
+    before they are expanded, so a wide gap is neither one array nor one task.
+    """
     number = F.col(value).cast("bigint").alias(value)
     distinct = df.select(*group, number).filter(F.col(value).isNotNull()).distinct()
     gaps = with_previous(distinct, group, [value], [value], "__prev", chunks).filter(
         F.col(f"__prev.{value}") < F.col(value) - 1
     )
-    return gaps.select(
-        *group, F.explode(F.sequence(F.col(f"__prev.{value}") + 1, F.col(value) - 1)).alias("missing")
-    )
+    low, high = F.col(f"__prev.{value}") + 1, F.col(value) - 1
+    # Two steps, so that the list of a gap's blocks stays short as well: large blocks, then small ones.
+    cut = gaps.select(*group, low.alias("__low"), high.alias("__high"))
+    for size in (GAP_BLOCK * GAP_BLOCK, GAP_BLOCK):
+        begins = cut.withColumn("__from", F.explode(F.sequence("__low", "__high", F.lit(size).cast("bigint"))))
+        cut = begins.select(*group, F.col("__from").alias("__low"), F.least("__high", F.col("__from") + (size - 1)).alias("__high"))
+    spread = cut.hint("rebalance")
+    return spread.select(*group, F.explode(F.sequence("__low", "__high")).alias("missing"))
 
 
 def append_with_keys(
@@ -192,16 +204,17 @@ def append_with_keys(
     key: str,
     order: Sequence[str],
     constants: dict[str, Column],
-    key_type: str = "decimal(10,0)",
+    key_type: str = "bigint",
     chunks: int | None = None,
 ) -> DataFrame:
     """Existing rows plus `new` ones numbered on from the highest existing key.
 
     New rows are numbered in the order of `order`, a unique business key, so a rerun gives the same
-    keys. `constants` fills columns the new rows lack; columns are matched by name.
+    keys. `constants` fills columns the new rows lack; columns are matched by name. A key that does not
+    fit `key_type`, old or new, is an error and never null.
     """
-    typed = existing.withColumn(key, F.expr(f"try_cast(`{key}` AS {key_type})"))
+    typed = existing.withColumn(key, exact_cast(F.col(f"`{key}`"), key_type))
     top = typed.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("m")).scalar()
     numbered = number_rows(new, order, key, top + 1, chunks)
-    numbered = numbered.withColumns({key: F.expr(f"try_cast(`{key}` AS {key_type})"), **constants})
+    numbered = numbered.withColumns({key: exact_cast(F.col(f"`{key}`"), key_type), **constants})
     return typed.unionByName(numbered.select(*typed.columns))

@@ -79,7 +79,9 @@ def dq_check(
     for rule in rules:
         if rule["check"] not in ROW_CHECKS + TABLE_CHECKS:
             raise ValueError(f"unknown check {rule['check']}")
-    keep = [F.col(row_id).cast("bigint").alias("row_id"), *[F.col(c) for c in carry]]
+    # Ids are numbers, or texts such as the hash of a key.
+    kind = T.StringType() if df.schema[row_id].dataType == T.StringType() else T.LongType()
+    keep = [F.col(row_id).cast(kind).alias("row_id"), *[F.col(c) for c in carry]]
     out = ["row_id", *carry, "rule_id", "column_name", "value", "severity"]
     parts = []
     by_row = [r for r in rules if r["check"] in ROW_CHECKS]
@@ -106,7 +108,7 @@ def dq_check(
             parts.append(bad.select("row_id", *carry, _error(rule, F.col("__v")).alias("e")).select("row_id", *carry, "e.*"))
     if not parts:
         schema = T.StructType(
-            [T.StructField("row_id", T.LongType()), *[df.schema[c] for c in carry]]
+            [T.StructField("row_id", kind), *[df.schema[c] for c in carry]]
             + [T.StructField(n, T.StringType()) for n in ("rule_id", "column_name", "value", "severity")]
         )
         return df.sparkSession.createDataFrame([], schema)
@@ -244,7 +246,7 @@ def reconcile_all(spark, subjects: Mapping[str, Callable[[], Reconciliation]], t
             s = subjects[name]().summary.first()
             return (name, "DONE", *[s[i] for i in range(5)], None)
         except Exception as problem:  # any failure of a subject is part of the report
-            return (name, "FAILED", None, None, None, None, None, str(problem).splitlines()[0][:500])
+            return (name, "FAILED", None, None, None, None, None, str(problem))
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
         rows = list(pool.map(outcome, subjects))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.functions.scalar import exact_cast
 from tidegate.operators.skew import BROADCAST_ROWS, balanced_join, is_small, lookup_join
 
 
@@ -123,9 +125,9 @@ def group_summary(df: DataFrame, key: str, counted: str, averaged: str) -> DataF
 
 
 def word_count(df: DataFrame, text: str, separator: str = " ") -> DataFrame:
-    """Frequency of the tokens between single separators; empty tokens count."""
+    """Frequency of the tokens between single separators (plain text, any length); empty tokens count."""
     return (
-        df.select(F.explode(F.split(text, separator)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        df.select(F.explode(F.split(text, re.escape(separator))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -138,9 +140,9 @@ def value_range(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(column).alias("min_value"), F.max(column).alias("max_value"))
 
 
-def count_and_top_key(df: DataFrame, key: str, kind: str = "decimal(10,0)") -> DataFrame:
-    """Row count and the highest key read as a number."""
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.max(F.expr(f"try_cast(`{key}` AS {kind})")).alias("top_key"))
+def count_and_top_key(df: DataFrame, key: str, kind: str = "bigint") -> DataFrame:
+    """Row count and the highest key read as a number; a key that is no such number is an error."""
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.max(exact_cast(F.col(f"`{key}`"), kind)).alias("top_key"))
 
 
 def lowest_message(df: DataFrame, key: str, value: str, rank_by: str) -> DataFrame:

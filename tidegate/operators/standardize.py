@@ -7,6 +7,7 @@ single quotes are accepted. All rules of a dataset become one projection.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,7 @@ RULES: dict[str, tuple[str, ...]] = {
     "timezone_conversion": ("src_tz", "tgt_tz", "src_ts", "tgt_ts", "utc_format_conversion_flag"),
 }
 CASES = ("Upper", "Lower")
+NUMBERS, NUMBER = ("length", "start_index"), "-?[0-9]{1,9}"
 
 
 class RejectedRules(ValueError):
@@ -50,7 +52,10 @@ def convert_date(c: Column, source: str, target: str) -> Column:
 
 def convert_zone(c: Column, source_zone: str, target_zone: str, source: str, target: str) -> Column:
     """Read local time of `source_zone`, print local time of `target_zone`."""
-    local = F.try_to_timestamp(c, F.lit(source)).cast("timestamp_ntz")
+    # Parsed without the session's zone, in which some local times do not exist.
+    wall = F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(f"{source} XXX"))
+    seconds = (F.unix_micros(wall) / 1_000_000).cast("decimal(18,6)")
+    local = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
     return F.date_format(F.convert_timezone(F.lit(source_zone), F.lit(target_zone), local), target)
 
 
@@ -94,6 +99,8 @@ def _parameters(rule: Mapping) -> dict | None:
         return None
     if rule["function_name"] == "type_conversion" and params["type"] not in CASES:
         return None
+    if any(not re.fullmatch(NUMBER, str(params[name])) for name in needed if name in NUMBERS):
+        return None
     return params
 
 
@@ -136,4 +143,8 @@ def rejected_rules(rules: DataFrame) -> DataFrame:
     bad_case = (F.col("function_name") == "type_conversion") & ~F.coalesce(
         F.try_element_at(F.col("__p"), F.lit("type")).isin(*CASES), F.lit(False)
     )
-    return with_needs.filter(unknown | incomplete | bad_case).drop("__needs", "__p")
+    no_number = (F.size("__needs") > 0) & F.exists(
+        F.array_intersect("__needs", F.array(*map(F.lit, NUMBERS))),
+        lambda k: ~F.coalesce(F.try_element_at(F.col("__p"), k).rlike(f"^(?:{NUMBER})$"), F.lit(False)),
+    )
+    return with_needs.filter(unknown | incomplete | bad_case | no_number).drop("__needs", "__p")

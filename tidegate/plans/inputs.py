@@ -122,13 +122,13 @@ INPUTS: dict[str, Input] = {
                          WHEN 'MEDIUM' THEN 'trim' WHEN 'PROMO' THEN 'date_conversion'
                          WHEN 'SMALL' THEN 'sub_string' ELSE 'no_such_rule' END AS function_name,
              CASE WHEN p_size < 5 THEN NULL
-                  WHEN p_size < 10 THEN concat('{{"padding_value":000', CAST(p_size AS VARCHAR(10)), ',"length":8}}')
+                  WHEN p_size < 10 THEN concat('{{"padding_value":00', CAST(p_size AS VARCHAR(10)), ',"length":11}}')
                   WHEN p_type = 'ECONOMY' AND p_size < 25 THEN '{{''type'':''Upper''}}'
                   WHEN p_type = 'ECONOMY' THEN '{{"type":"upper"}}'
-                  WHEN p_type = 'LARGE' THEN '{{"padding_value":"0","length":8}}'
+                  WHEN p_type = 'LARGE' THEN '{{"padding_value":"0","length":11}}'
                   WHEN p_type = 'PROMO' AND p_size < 30 THEN '{{"src":"yyyyMMdd"}}'
                   WHEN p_type = 'PROMO' THEN '{{"src":"yyyyMMdd","tgt":"yyyy-MM-dd"}}'
-                  ELSE '{{"start_index":2,"length":6}}' END AS function_params
+                  ELSE '{{"start_index":4,"length":5}}' END AS function_params
            FROM {part}""",
         ("part",),
     ),

@@ -20,7 +20,7 @@ def _(spark, sf):
 
 @query(
     "p02_canonical_column",
-    """SELECT CAST(l_orderkey AS VARCHAR) AS received_file_name, l_linenumber, 'only_id' AS variant FROM lineitem
+    """SELECT CAST(l_orderkey AS VARCHAR) AS source_name, l_linenumber, 'only_id' AS variant FROM lineitem
        UNION ALL SELECT l_returnflag, l_linenumber, 'both' FROM lineitem
        UNION ALL SELECT l_linestatus, l_linenumber, 'only_name' FROM lineitem""",
 )
@@ -32,7 +32,7 @@ def _(spark, sf):
         "only_name": li.select(F.col("l_linestatus").alias("file_name"), "l_linenumber"),
     }
     done = [
-        P.canonical_column(df, "received_file_name", "file_name", "file_id").withColumn("variant", F.lit(v))
+        P.canonical_column(df, "source_name", "file_name", "file_id").withColumn("variant", F.lit(v))
         for v, df in parts.items()
     ]
     return done[0].unionByName(done[1]).unionByName(done[2])
@@ -61,11 +61,11 @@ def _(spark, sf):
 
 @query(
     "p05_recode",
-    """SELECT p_partkey, CASE WHEN p_size IN (35, 40, 45) THEN '35+' ELSE p_type END AS p_type FROM part""",
+    """SELECT p_partkey, CASE WHEN p_size IN (5, 15, 25) THEN 'odd size' ELSE p_type END AS p_type FROM part""",
 )
 def _(spark, sf):
     df = table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
-    return P.recode(df, "p_type", "p_size", {35: "35+", 40: "35+", 45: "35+"}).drop("p_size")
+    return P.recode(df, "p_type", "p_size", {5: "odd size", 15: "odd size", 25: "odd size"}).drop("p_size")
 
 
 @query("p06_drop_if_all", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
@@ -185,13 +185,13 @@ def _(spark, sf):
 
 @query(
     "p15_fill_nulls",
-    """SELECT c_custkey, COALESCE(name_raw, 'No data') AS name_raw, COALESCE(NULLIF(bal_raw, 'n/a'), 'none') AS bal_raw
+    """SELECT c_custkey, COALESCE(name_raw, 'missing') AS name_raw, COALESCE(NULLIF(bal_raw, 'n/a'), 'none') AS bal_raw
        FROM customer_feed""",
     inputs=("customer_feed",),
 )
 def _(spark, sf):
     df = derived(spark, sf, "customer_feed").select("c_custkey", "name_raw", F.nullif("bal_raw", F.lit("n/a")).alias("bal_raw"))
-    return P.fill_nulls(P.fill_nulls(df, "none", ["bal_raw"]), "No data")
+    return P.fill_nulls(P.fill_nulls(df, "none", ["bal_raw"]), "missing")
 
 
 @query("p16_swap_columns", "SELECT c_custkey, c_nationkey + 100 AS c_nationkey, upper(c_name) AS c_name FROM customer")
@@ -202,14 +202,18 @@ def _(spark, sf):
     return P.swap_columns(df, ["c_nationkey", "c_name"])
 
 
-@query("p17_row_id", "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_ids, COUNT(*) AS n_stable FROM orders")
+@query(
+    "p17_row_id",
+    """WITH twice AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'F')
+       SELECT COUNT(*) AS n_rows, COUNT(*) AS n_ids, COUNT(DISTINCT o_orderkey) AS n_keys FROM twice""",
+)
 def _(spark, sf):
+    # Exact copies get ids of their own; ids by key are one for each key.
     df = table(spark, sf, "orders")
-    by_key = P.add_row_id(df, "row_id", ["o_orderkey"])
-    twice = P.add_row_id(by_key, "again", ["o_orderkey"])
-    return twice.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"),
-        F.count_if(F.col("row_id") == F.col("again")).alias("n_stable"),
+    twice = P.add_row_id(df.unionByName(df.filter("o_orderstatus = 'F'")))
+    keyed = P.add_row_id(twice, "key_id", ["o_orderkey"])
+    return keyed.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"), F.count_distinct("key_id").alias("n_keys"),
     )
 
 
@@ -305,20 +309,20 @@ def _(spark, sf):
 
 @query(
     "c02_conditional_add",
-    """SELECT p_partkey, CAST(p_size + CASE p_type WHEN 'ECONOMY' THEN 10 WHEN 'PROMO' THEN 20 ELSE 30 END AS BIGINT) AS new_size FROM part""",
+    """SELECT p_partkey, CAST(p_size + CASE p_type WHEN 'ECONOMY' THEN 7 WHEN 'PROMO' THEN 12 ELSE 4 END AS BIGINT) AS new_size FROM part""",
 )
 def _(spark, sf):
-    added = S.conditional_add(F.col("p_size"), F.col("p_type"), {"ECONOMY": 10, "PROMO": 20}, 30)
+    added = S.conditional_add(F.col("p_size"), F.col("p_type"), {"ECONOMY": 7, "PROMO": 12}, 4)
     return table(spark, sf, "part").select("p_partkey", added.cast("bigint").alias("new_size"))
 
 
 @query(
     "c02_vectorized_function",
-    """SELECT p_partkey, CAST(p_size + CASE p_type WHEN 'ECONOMY' THEN 10 WHEN 'PROMO' THEN 20 ELSE 30 END AS BIGINT) AS new_size FROM part""",
+    """SELECT p_partkey, CAST(p_size + CASE p_type WHEN 'ECONOMY' THEN 7 WHEN 'PROMO' THEN 12 ELSE 4 END AS BIGINT) AS new_size FROM part""",
 )
 def _(spark, sf):
     def add(size, kind):
-        return size + kind.map({"ECONOMY": 10, "PROMO": 20}).fillna(30).astype("int64")
+        return size + kind.map({"ECONOMY": 7, "PROMO": 12}).fillna(4).astype("int64")
 
     S.register_vectorized(spark, "tidegate_add", add, "bigint")
     return spark.sql("SELECT p_partkey, tidegate_add(p_size, p_type) AS new_size FROM {part}", part=table(spark, sf, "part"))
@@ -428,7 +432,7 @@ def _(spark, sf):
 @query(
     "c13_clean_message",
     """SELECT page_id, CAST(length(m) AS BIGINT) AS n, md5(m) AS message FROM (
-         SELECT page_id, left(replace(replace(html, '"', ''), '''', ''), 2000) AS m FROM pages) x""",
+         SELECT page_id, replace(replace(left(html, 2000), '"', ''), '''', '') AS m FROM pages) x""",
 )
 def _(spark, sf):
     message = S.clean_message(F.col("html"), 2000)
@@ -475,18 +479,18 @@ query("n02_lower", _standard_sql("addr_raw", "lower({v})"), _FEED)(_standard("ad
 query("n03_blank", _standard_sql("name_raw", "CASE WHEN regexp_matches({v}, '[^ \\t\\r\\n]') THEN {v} END"), _FEED)(
     _standard("name_raw", ("blank_conversion",))
 )
-query("n04_left_pad", _standard_sql("bal_raw", "lpad({v}, 6, '0')"), _FEED)(
-    _standard("bal_raw", ("left_padding", '{"padding_value":"0","length":6}'))
+query("n04_left_pad", _standard_sql("bal_raw", "lpad({v}, 9, '0')"), _FEED)(
+    _standard("bal_raw", ("left_padding", '{"padding_value":"0","length":9}'))
 )
-query("n05_right_pad", _standard_sql("bal_raw", "rpad({v}, 10, '*')"), _FEED)(
-    _standard("bal_raw", ("right_padding", "{'padding_value':'*','length':10}"))
+query("n05_right_pad", _standard_sql("bal_raw", "rpad({v}, 13, '*')"), _FEED)(
+    _standard("bal_raw", ("right_padding", "{'padding_value':'*','length':13}"))
 )
 query("n06_trim", _standard_sql("name_raw", "trim({v})"), _FEED)(_standard("name_raw", ("trim",)))
 query("n07_substring", _standard_sql("joined_raw", "substr({v}, 3, 4)"), _FEED)(
     _standard("joined_raw", ("sub_string", '{"start_index":3,"length":4}'))
 )
-query("n08_replace", _standard_sql("bal_raw", "replace({v}, '.', '#')"), _FEED)(
-    _standard("bal_raw", ("replace", '{"to_replace":".","value":"#"}'))
+query("n08_replace", _standard_sql("bal_raw", "replace({v}, '.', ',')"), _FEED)(
+    _standard("bal_raw", ("replace", '{"to_replace":".","value":","}'))
 )
 query("n09_zip", _standard_sql("addr_raw", "NULLIF(regexp_extract({v}, '([0-9]{{5}})[0-9]*', 1), '')"), _FEED)(
     _standard("addr_raw", ("zip_extractor",))

@@ -120,6 +120,22 @@ def _(spark, sf):
     return found.withColumn("position", F.col("position").cast("bigint"))
 
 
+@query(
+    "f07_header_bars",
+    """SELECT h.file_name, CAST(p AS BIGINT) AS position, string_split(h.header, ',')[p] AS actual, e.names[p] AS expected
+       FROM part_headers h JOIN (SELECT dataset_id, list(source_column_name ORDER BY column_sequence_number) AS names FROM part_columns
+            WHERE header_flag = 'Y' GROUP BY dataset_id) e USING (dataset_id),
+            unnest(range(1, greatest(len(string_split(h.header, ',')), len(e.names)) + 1)) AS u(p)
+       WHERE string_split(h.header, ',')[p] IS DISTINCT FROM e.names[p]""",
+    inputs=("part_headers", "part_columns"),
+)
+def _(spark, sf):
+    # The same headers with fields in quotes and two bars between them.
+    quoted = F.concat(F.lit('"'), F.replace("header", F.lit(","), F.lit('"||"')), F.lit('"'))
+    found = X.header_mismatch(derived(spark, sf, "part_headers").withColumn("header", quoted), derived(spark, sf, "part_columns"), "||")
+    return found.select("file_name", F.col("position").cast("bigint"), "actual", "expected")
+
+
 def _pending(static):
     return lambda spark, sf: X.pending_files(derived(spark, sf, "feed_files"), derived(spark, sf, "feed_log"), static)
 
@@ -265,7 +281,7 @@ _STAFF = ("staff", "staff_edges")
 
 
 def _expanded(spark, sf):
-    return H.hierarchy(derived(spark, sf, "staff"), derived(spark, sf, "staff_edges"), "id", 0, MAX_LEVELS)
+    return H.hierarchy(derived(spark, sf, "staff"), derived(spark, sf, "staff_edges"), "id", 0)
 
 
 def _distance():
@@ -378,7 +394,7 @@ def _(spark, sf):
 
 CLEANSE = {
     "dim-part": [
-        lambda df: P.recode(df, "p_type", "p_size", {35: "35+", 40: "35+", 45: "35+"}),
+        lambda df: P.recode(df, "p_type", "p_size", {5: "odd size", 15: "odd size", 25: "odd size"}),
         lambda df: P.add_columns(df, {"active_flag": (None, "string")}),
     ],
     "dim-other": [lambda df: df.drop("p_size")],
@@ -387,12 +403,12 @@ CLEANSE = {
 
 @query(
     "d03_cleanse",
-    """SELECT p_partkey, CASE WHEN p_size IN (35, 40, 45) THEN '35+' ELSE p_type END AS p_type, p_size,
-              p_name AS received_file_name, CAST(NULL AS VARCHAR) AS active_flag FROM part""",
+    """SELECT p_partkey, CASE WHEN p_size IN (5, 15, 25) THEN 'odd size' ELSE p_type END AS p_type, p_size,
+              p_name AS source_name, CAST(NULL AS VARCHAR) AS active_flag FROM part""",
 )
 def _(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_size", F.col("p_name").alias("file_name"))
-    canonical = lambda df: P.canonical_column(df, "received_file_name", "file_name", "file_id")
+    canonical = lambda df: P.canonical_column(df, "source_name", "file_name", "file_id")
     return D.cleanse(part, "dim-part", CLEANSE, always=[canonical])
 
 

@@ -154,6 +154,17 @@ def _(spark, sf):
     return spark.read.parquet(f"{root}/none").unionByName(spark.read.parquet(f"{root}/some"))
 
 
+@query("k02_republish_empty", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P'")
+def _(spark, sf):
+    # An empty batch takes the place of an earlier one, with the flag and without it.
+    root = scratch_path(spark, "publish")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    kept, gone = o.filter("o_orderstatus = 'P'"), o.filter("o_orderstatus = 'none'")
+    for name, rows, flag in (("a", kept, True), ("b", o, True), ("b", gone, True), ("c", o, False), ("c", gone, False)):
+        K.publish(rows, f"{root}/batch={name}", flag, ())
+    return spark.read.parquet(root).drop("batch")
+
+
 @query("k03_write_csv", "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority, o_orderstatus FROM orders")
 def _(spark, sf):
     path = scratch_path(spark, "orders_csv")
@@ -211,6 +222,20 @@ def _(spark, sf):
     return made.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
+@query(
+    "k10_republish",
+    """SELECT o_orderkey, o_orderpriority, o_orderstatus AS pt_o_orderstatus FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def _(spark, sf):
+    # Again to another path, with fewer columns, and without a partition.
+    text, name = _order_text(spark, sf), "tidegate_k10_again"
+    _register(spark, name, text, "staging", ORDER_META, ["o_orderstatus"])
+    fewer = [m for m in ORDER_META if m["column_name"] in ("o_orderkey", "o_orderpriority", "o_orderstatus")]
+    path = scratch_path(spark, name)
+    C.publish_table(text, name, path, "staging", fewer, ["o_orderstatus"])
+    return C.publish_table(text.filter("o_orderstatus <> 'F'"), name, path, "staging", fewer, ["o_orderstatus"])
+
+
 @query(
     "k11_refresh_partitions",
     """SELECT o_orderkey, o_orderstatus AS pt_o_orderstatus FROM orders UNION ALL SELECT o_orderkey, 'late' FROM orders WHERE o_orderstatus = 'P'""",
@@ -355,11 +380,14 @@ def _(spark, sf):
 @query("i02_incremental_load", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, 1 = 1 AS at_top FROM orders")
 def _(spark, sf):
     path = scratch_path(spark, "orders_inc")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    mark = I.incremental_load(o.filter("o_orderdate < '1998-01-01'"), "o_orderdate", None, path)
-    mark = I.incremental_load(o.filter("o_orderdate < '2000-01-01'"), "o_orderdate", mark, path)
-    mark = I.incremental_load(o, "o_orderdate", mark, path)
-    mark = I.incremental_load(o, "o_orderdate", mark, path)
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    # Some rows arrive late, with a date that was loaded already as the highest one.
+    late = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") == F.lit("1997-12-31").cast("timestamp"))
+    keys = ["o_orderkey"]
+    mark = I.incremental_load(o.filter("o_orderdate < '1998-01-01'").filter(~late), "o_orderdate", None, path, keys)
+    mark = I.incremental_load(o.filter("o_orderdate < '1998-01-01'"), "o_orderdate", mark, path, keys)
+    mark = I.incremental_load(o, "o_orderdate", mark, path, keys)
+    mark = I.incremental_load(o, "o_orderdate", mark, path, keys)
     read = spark.read.parquet(path)
     return read.select(
         "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
@@ -376,7 +404,32 @@ def _(spark, sf):
         arrived.write.mode("append").parquet(source)
         for _ in range(2):  # the second run finds nothing new
             I.ingest_new_files(I.file_stream(spark, source, e.schema).drop("file_name"), target, bookmark)
-    return spark.read.parquet(target)
+    return I.ingested(spark, target, e.schema)
+
+
+@query("i03_restart", "SELECT event_id, event_type FROM events")
+def _(spark, sf):
+    # Load, let files arrive, lose the bookmark and start over: every row is there once.
+    source, target, first, second = (scratch_path(spark, n) for n in ("in", "out", "bookmark", "bookmark"))
+    e = table(spark, sf, "events").select("event_id", "event_type")
+    for part, bookmark in ((F.col("event_type") == "click", first), (F.col("event_type") != "click", second)):
+        e.filter(part).write.mode("append").parquet(source)
+        I.ingest_new_files(I.file_stream(spark, source, e.schema).drop("file_name"), target, bookmark)
+    return I.ingested(spark, target, e.schema)
+
+
+@query("i03_reset_to_batch", "SELECT event_id, event_type FROM events")
+def _(spark, sf):
+    # Three batches, back to the state after the first, and on again: later files are read once more.
+    source, target, bookmark = (scratch_path(spark, n) for n in ("in", "out", "bookmark"))
+    e = table(spark, sf, "events").select("event_id", "event_type")
+    stream = lambda: I.file_stream(spark, source, e.schema).drop("file_name")
+    for part in (F.col("event_type") == "click", F.col("event_type") == "view", ~F.col("event_type").isin("click", "view")):
+        e.filter(part).write.mode("append").parquet(source)
+        I.ingest_new_files(stream(), target, bookmark)
+    I.reset_to_batch(spark, target, bookmark, 0)
+    I.ingest_new_files(stream(), target, bookmark)
+    return I.ingested(spark, target, e.schema)
 
 
 @query(
@@ -432,3 +485,22 @@ def _(spark, sf):
         stream = I.file_stream(spark, source, rows.schema).drop("file_name")
         I.stream_upsert(stream, target, bookmark, ["c_custkey"], latest_by="c_acctbal")
     return I.newest_version(spark, target).select("c_custkey", F.round("c_acctbal", 2).alias("c_acctbal"), "batch_id")
+
+
+@query(
+    "i05_restart",
+    """WITH n AS (SELECT c_custkey, MAX(c_acctbal) AS c_acctbal FROM customer_batch GROUP BY 1)
+       SELECT c_custkey, round(c_acctbal, 2) AS c_acctbal FROM n
+       UNION ALL SELECT c_custkey, round(c_acctbal, 2) FROM customer_history WHERE c_custkey NOT IN (SELECT c_custkey FROM n)""",
+    inputs=("customer_batch", "customer_history"),
+)
+def _(spark, sf):
+    # The bookmark is lost between the two batches; the table that is there is upserted all the same.
+    target = scratch_path(spark, "versions")
+    for name in ("customer_history", "customer_batch"):
+        source, bookmark = scratch_path(spark, "in"), scratch_path(spark, "bookmark")
+        rows = derived(spark, sf, name).select("c_custkey", "c_acctbal")
+        rows.write.parquet(source)
+        stream = I.file_stream(spark, source, rows.schema).drop("file_name")
+        I.stream_upsert(stream, target, bookmark, ["c_custkey"], latest_by="c_acctbal")
+    return I.newest_version(spark, target).select("c_custkey", F.round("c_acctbal", 2).alias("c_acctbal"))

@@ -137,6 +137,15 @@ def _(spark, sf):
     return R.word_count(table(spark, sf, "documents"), "text")
 
 
+@query(
+    "a02_fields_between_bars",
+    "SELECT word, COUNT(*) AS n FROM (SELECT unnest(string_split(concat(c_mktsegment, '||', c_nationkey, '||', c_name), '||')) AS word FROM customer) w GROUP BY word",
+)
+def _(spark, sf):
+    line = F.concat_ws("||", "c_mktsegment", F.col("c_nationkey").cast("string"), "c_name")
+    return R.word_count(table(spark, sf, "customer").select(line.alias("line")), "line", "||")
+
+
 @query("a03_value_frequency", "SELECT user_id, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2")
 def _(spark, sf):
     return R.value_frequency(table(spark, sf, "events"), "user_id", "event_type")

@@ -76,6 +76,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folders_of(spark: SparkSession, path: str) -> dict[str, bool]:
+    """Names of the folders below `path`, each with whether a finished write marked it as complete."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return {}
+    listed = [s.getPath() for s in fs.listStatus(top) if s.isDirectory()]
+    return {p.getName(): fs.exists(hadoop.Path(p, "_SUCCESS")) for p in listed}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the open workspace, or else below the shared folder."""
     open_folders = _WORKSPACES.get()

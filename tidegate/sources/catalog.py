@@ -30,10 +30,19 @@ def column_ddl(metadata: Sequence[Mapping], step: str) -> dict[str, str]:
     }
 
 
+def _quoted(value: object) -> str:
+    """A SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def publish_table(
     df: DataFrame, name: str, path: str, step: str, metadata: Sequence[Mapping], partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Write `df` to `path` and register it as an external table `db.table`."""
+    """Write `df` to `path` and register it as an external table `db.table`.
+
+    Publishing again replaces the snapshot: the table is registered anew with these columns and this
+    path, and partitions that are not in `df` are gone.
+    """
     spark = df.sparkSession
     columns = column_ddl(metadata, step)
     partitions = {p: partition_name(p) for p in partition_by}
@@ -41,14 +50,15 @@ def publish_table(
         *[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items() if c not in partitions],
         *[F.col(f"`{c}`").cast("string").alias(p) for c, p in partitions.items()],
     )
-    writer = gathered(out, list(partitions.values())).write.mode("overwrite")
+    writer = gathered(out, list(partitions.values())).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partitions.values()) if partitions else writer).parquet(path)
     body = ", ".join(
         [f"`{c}` {kind}" for c, kind in columns.items() if c not in partitions]
         + [f"`{p}` string" for p in partitions.values()]
     )
     parted = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions.values())})" if partitions else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet {parted} LOCATION '{path}'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
+    spark.sql(f"CREATE TABLE {name} ({body}) USING parquet {parted} LOCATION {_quoted(path)}")
     if partitions:
         refresh_partitions(spark, name)
     return spark.table(name)
@@ -57,7 +67,7 @@ def publish_table(
 def refresh_partitions(spark: SparkSession, name: str, batch: Mapping[str, object] | None = None) -> None:
     """Add one partition, or repair them all."""
     if batch:
-        spec = ", ".join(f"`{k}` = '{v}'" for k, v in batch.items())
+        spec = ", ".join(f"`{k}` = {_quoted(v)}" for k, v in batch.items())
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
     else:
         spark.sql(f"MSCK REPAIR TABLE {name}")
@@ -71,5 +81,5 @@ def publish_views(
     base = name.split(".")[-1] if temporary else name
     spark.sql(f"CREATE OR REPLACE {kind} {base}_full AS SELECT * FROM {name}")
     spark.sql(
-        f"CREATE OR REPLACE {kind} {base}_latest AS SELECT * FROM {name} WHERE `{batch_column}` = '{latest_batch}'"
+        f"CREATE OR REPLACE {kind} {base}_latest AS SELECT * FROM {name} WHERE `{batch_column}` = {_quoted(latest_batch)}"
     )

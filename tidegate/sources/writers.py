@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -10,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators.columns import upper_columns
+from tidegate.session import delete_path
 from tidegate.sources.readers import read_delimited
 
-MAX_SINGLE_FILE_ROWS = 5_000_000
 # Text must come back as it was, blanks at its ends included.
 KEEP_BLANKS = dict(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
@@ -38,14 +39,16 @@ def write_batch(df: DataFrame, root: str, batch_id, by: Sequence[str] = ("file_i
 
 
 def publish(df: DataFrame, path: str, handle_empty: bool, by: Sequence[str] = ("file_id",)) -> bool:
-    """Write a publish batch; returns False when it was empty.
+    """Write a publish batch over what was published there; returns False when it was empty.
 
-    With `handle_empty` an empty batch still leaves files with the schema, unpartitioned, so that
-    readers do not fail.
+    With `handle_empty` an empty batch leaves files with the schema, unpartitioned, so that readers do
+    not fail; without it nothing is left. Either way earlier rows of the batch are gone.
     """
     if df.isEmpty():
         if handle_empty:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        else:
+            delete_path(df.sparkSession, path)
         return False
     writer = gathered(df, by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*by) if by else writer).parquet(path)
@@ -58,17 +61,44 @@ def publish_location(landing: str, post_dq: str, handle_empty: bool) -> str:
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, one_file: bool = False) -> None:
-    """CSV with header, optionally partitioned by key; one file only on request and for small results."""
-    out = _single(df) if one_file else df
-    writer = out.write.mode("overwrite").options(header=True, quote='"', escape='"', **KEEP_BLANKS)
+    """CSV with header, written in parallel, optionally partitioned by key.
+
+    With `one_file` the parts become the single file `path` after the write.
+    """
+    options = dict(header=True, quote='"', escape='"', **KEEP_BLANKS)
+    if one_file:
+        if partition_by:
+            raise ValueError("one file has no partitions")
+        _write_one_file(df, path, options)
+        return
+    writer = df.write.mode("overwrite").options(**options)
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
-def _single(df: DataFrame) -> DataFrame:
-    """One partition, refused (not cut) for a result too large for one task."""
-    if df.limit(MAX_SINGLE_FILE_ROWS + 1).count() > MAX_SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {MAX_SINGLE_FILE_ROWS} rows: export as several files")
-    return df.coalesce(1)
+def _write_one_file(df: DataFrame, target: str, options: Mapping) -> None:
+    """Write parts in parallel without headers, then join them on the file system behind one header.
+
+    The rows are streamed from file to file, in the order of the parts; no task holds them all.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    parts = f"{target}_parts_{uuid.uuid4().hex}"
+    df.limit(0).coalesce(1).write.options(**options).csv(f"{parts}/head")
+    df.write.options(**{**options, "header": False}).csv(f"{parts}/rows")
+    goal = jvm.org.apache.hadoop.fs.Path(target)
+    fs = goal.getFileSystem(conf)
+    fs.delete(goal, True)
+    out = fs.create(goal)
+    try:
+        for folder in ("head", "rows"):
+            listed = fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{parts}/{folder}"))
+            for path in sorted((s.getPath() for s in listed if s.getPath().getName().startswith("part-")), key=lambda p: p.getName()):
+                part = fs.open(path)
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+                part.close()
+    finally:
+        out.close()
+        delete_path(spark, parts)
 
 
 def export_text(
@@ -84,25 +114,10 @@ def export_text(
     if not one_file:
         out.write.mode("overwrite").options(**options).csv(target)
         return target
-    parts = f"{folder}/_parts_{name}_{batch_date}"
-    _single(out).write.mode("overwrite").options(**options).csv(parts)
-    _promote_single_part(df.sparkSession, parts, target)
+    _write_one_file(out, target, options)
     return target
 
 
-def _promote_single_part(spark: SparkSession, parts: str, target: str) -> None:
-    """Give the only part file its stable name."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(parts)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    goal = jvm.org.apache.hadoop.fs.Path(target)
-    part = next(s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-"))
-    fs.delete(goal, False)
-    if not fs.rename(part, goal):
-        raise OSError(f"could not name {target}")
-    fs.delete(path, True)
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], mode: str = "append") -> None:
     df.write.mode(mode).jdbc(url, table, properties=dict(properties))
 
@@ -131,7 +146,7 @@ def refresh_all(
             full_refresh(spark.read.parquet(path), url, table_name(source), properties)
             outcome[source] = "SUCCEEDED"
         except Exception as problem:  # reported per table, the others go on
-            outcome[source] = f"FAILED: {str(problem).splitlines()[0]}"
+            outcome[source] = f"FAILED: {problem}"
     return outcome
 
 
@@ -163,13 +178,15 @@ def backup_tables(
     exclude: Iterable[str] = (),
     threads: int = 8,
 ) -> list[str]:
-    """Copy each table to `latest/` (replaced) and to a dated folder, several tables at a time.
+    """Copy each table to `latest/` (replaced as a whole) and to a dated folder, several tables at a time.
 
-    Tables whose name starts with an excluded prefix, in any case, are left out.
+    Tables that are excluded or gone are no longer in `latest/` afterwards. Tables whose name starts with an excluded prefix, in any case, are left out.
     """
     prefixes = tuple(p.lower() for p in exclude)
     chosen = sorted(t for t in tables if not (prefixes and t.lower().startswith(prefixes)))
 
+    delete_path(spark, f"{destination}/latest")
+
     def copy(table: str) -> None:
         for path in (f"{destination}/latest/{table}", f"{destination}/archive/{batch_date}/{table}"):
             spark.read.parquet(tables[table]).write.mode("overwrite").parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from tidegate.operators.columns import add_row_id
 from tidegate.operators.dimensions import stitch_scd1
 from tidegate.operators.quality import dq_check, passing_rows
 from tidegate.operators.standardize import standardize
+from tidegate.session import delete_path, folders_of
 
 
 def full_load(df: DataFrame, path: str) -> DataFrame:
@@ -20,20 +23,66 @@ def full_load(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def incremental_rows(df: DataFrame, refresh_column: str, previous_max) -> DataFrame:
-    """Rows refreshed after the last load; the literal comparison is pushed to the scan."""
-    return df if previous_max is None else df.filter(F.col(refresh_column) > F.lit(previous_max))
-
+def incremental_rows(
+    df: DataFrame, refresh_column: str, previous_max, loaded: DataFrame | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Rows refreshed since the last load; the literal comparison is pushed to the scan.
 
-def incremental_load(df: DataFrame, refresh_column: str, previous_max, path: str):
-    """Append the new rows to `path` and return the new maximum, read during the same write."""
+    Rows that arrive late with exactly the last maximum count too, without those of `loaded` that have
+    the same `keys` at that value. Rows without a refresh value are new as long as `loaded` lacks their keys.
+    Without `loaded` only rows beyond the maximum are returned.
+    """
+    if previous_max is None:
+        return df
+    value, top = F.col(refresh_column), F.lit(previous_max)
+    beyond = df.filter(value > top)
+    if loaded is None:
+        return beyond
+    if not keys:
+        raise ValueError("rows at the last maximum are told apart by keys")
+    edge = (value == top) | value.isNull()
+    known = loaded.filter(edge).select(*[F.col(k).alias(f"__{k}") for k in keys], value.alias("__at"))
+    same = value.eqNullSafe(F.col("__at"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return beyond.unionByName(df.filter(edge).join(known, same, "left_anti"))
+
+
+LOAD_LOG = "object string, run bigint, previous_max string, current_max string, rows bigint, without_value bigint"
+
+
+def incremental_load(
+    df: DataFrame, refresh_column: str, previous_max, path: str, keys: Sequence[str] = (), log: str | None = None
+):
+    """Append the new rows to `path` and return the new maximum, read during the same write.
+
+    With `keys`, rows at the last maximum and rows without a refresh value are loaded once each; so is a
+    rerun with an old maximum after a crash between the append and its record. With `log`, a row with the
+    previous and the current maximum, the rows loaded and those without a value is appended there.
+    """
     from pyspark.sql import Observation
 
-    seen = Observation()
-    fresh = incremental_rows(df, refresh_column, previous_max).observe(seen, F.max(refresh_column).alias("top"))
+    spark, seen = df.sparkSession, Observation()
+    loaded = None
+    if keys and previous_max is not None:
+        # What a crashed run appended lies beyond the recorded maximum; those keys are known as well.
+        loaded = spark.read.schema(df.schema).parquet(path)
+    fresh = incremental_rows(df, refresh_column, previous_max, loaded, keys)
+    if loaded is not None:
+        late = loaded.filter(F.col(refresh_column) > F.lit(previous_max)).select(*keys, refresh_column)
+        fresh = fresh.join(late, [*keys, refresh_column], "left_anti").select(*df.columns)
+    fresh = fresh.observe(
+        seen, F.max(refresh_column).alias("top"), F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(refresh_column).isNull()).alias("without_value"),
+    )
     fresh.write.mode("append").parquet(path)
     top = seen.get["top"]
-    return previous_max if top is None else top
+    current = previous_max if top is None else top
+    if log:
+        text = lambda v: None if v is None else str(v)
+        row = (path, time.time_ns(), text(previous_max), text(current), seen.get["rows"], seen.get["without_value"])
+        spark.createDataFrame([row], LOAD_LOG).write.mode("append").parquet(log)
+    return current
 
 
 def file_stream(
@@ -46,16 +95,58 @@ def file_stream(
     return reader.load(folder).select("*", F.col("_metadata.file_name").alias("file_name"))
 
 
+def _run_of(spark: SparkSession, bookmark: str) -> tuple[str, bool]:
+    """The id of the run that a bookmark belongs to, kept inside it, and whether the run is new."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(f"{bookmark}/run_id")
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(place):
+        return spark.read.text(str(place.toString())).first()[0], False
+    run = uuid.uuid4().hex
+    out = fs.create(place, False)
+    out.write(bytearray(run, "utf-8"))
+    out.close()
+    return run, True
+
+
 def ingest_new_files(stream: DataFrame, target: str, bookmark: str) -> None:
-    """Append what is new since the bookmark; deleting the bookmark folder starts over."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", bookmark)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    """Append what is new since the bookmark. Deleting the bookmark folder starts over.
+
+    A run's batches lie in `<target>/run=<id>/batch_id=<n>`, each replaced as a whole when it is
+    repeated. A run that starts over replaces what earlier runs loaded. Read with `ingested`.
+    """
+    spark = stream.sparkSession
+    run, new = _run_of(spark, bookmark)
+    if new:
+        for name in folders_of(spark, target):
+            delete_path(spark, f"{target}/{name}")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/run={run}/batch_id={batch_id}")
+
+    _each_batch(stream, bookmark, handle)
+
+
+def ingested(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """What `ingest_new_files` loaded, without the names of runs and batches."""
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    return reader.parquet(target)
+
+
+def reset_to_batch(spark: SparkSession, target: str, bookmark: str, batch_id: int) -> None:
+    """Take a load back to the state after `batch_id`: later batches are dropped and will be read again."""
+    run, _ = _run_of(spark, bookmark)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for log in ("offsets", "commits"):
+        folder = hadoop.Path(f"{bookmark}/{log}")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in fs.listStatus(folder) if fs.exists(folder) else ():
+            name = status.getPath().getName().strip(".").removesuffix(".crc")
+            if name.isdigit() and int(name) > batch_id:
+                fs.delete(status.getPath(), False)
+    for name in folders_of(spark, f"{target}/run={run}"):
+        if int(name.removeprefix("batch_id=")) > batch_id:
+            delete_path(spark, f"{target}/run={run}/{name}")
 
 
 def unread_files(listing: DataFrame, bookmark: DataFrame) -> DataFrame:
@@ -109,25 +200,32 @@ def stream_upsert(
 ) -> None:
     """SCD-1 upsert of each micro-batch into a new version of the table.
 
-    Version n is written to `<target>/version=n` from version n-1, never in place, so a repeated
-    batch gives the same version. Read the newest one with `newest_version`.
+    A version is written next to the newest complete one, from it and the batch, never in place; numbers
+    go on from the stored versions, whatever the bookmark, so a new bookmark upserts into what is there.
+    A batch that is repeated after a crash is upserted again, which changes nothing. Versions before the
+    last two are removed. Read the newest one with `newest_version`.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        if batch_id == 0:
-            history = new.limit(0)
-        else:
-            history = spark.read.schema(new.schema).parquet(f"{target}/version={batch_id - 1}")
+        complete = _complete_versions(spark, target)
+        newest = complete[-1] if complete else -1
+        history = spark.read.schema(new.schema).parquet(f"{target}/version={newest}") if complete else new.limit(0)
         stitched = stitch_scd1(new, history, keys, batch_id, latest_by=latest_by)
-        stitched.select(*new.columns).write.mode("overwrite").parquet(f"{target}/version={batch_id}")
+        stitched.select(*new.columns).write.mode("overwrite").parquet(f"{target}/version={newest + 1}")
+        for old in complete[:-1]:
+            delete_path(spark, f"{target}/version={old}")
 
     _each_batch(stream, bookmark, handle)
 
 
+def _complete_versions(spark: SparkSession, target: str) -> list[int]:
+    """Version numbers whose write has ended, from a listing alone."""
+    names = folders_of(spark, target)
+    return sorted(int(n.removeprefix("version=")) for n, done in names.items() if done and n.startswith("version="))
+
+
 def newest_version(spark: SparkSession, target: str) -> DataFrame:
-    """The highest version of a table kept by `stream_upsert`."""
-    versions = spark.read.parquet(target)
-    top = versions.agg(F.max("version").alias("v")).first()["v"]
-    return spark.read.parquet(f"{target}/version={top}")
+    """The newest complete version of a table kept by `stream_upsert`."""
+    return spark.read.parquet(f"{target}/version={_complete_versions(spark, target)[-1]}")
