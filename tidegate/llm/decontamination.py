@@ -113,6 +113,8 @@ class WindowIndex:
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_words: int = 2_000_000, name: str = "hits") -> DataFrame:
     """`docs` with the struct `name`: n_words, starts and ends of hit word spans, items as texts."""
+    if name in docs.columns:
+        raise ValueError(f"the table already has a column {name}")
     spark = docs.sparkSession
     listed = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
     sized = listed.withColumn("most", F.length("text") + 1)
