@@ -39,7 +39,7 @@ def hierarchy(
     )
     pairs = edges.select("src", "dst").filter("src is not null")
     wide = hot_keys(pairs, ["src"], hot_rows, fraction)
-    named = balanced_join(pairs, targets, ["dst"], hot_rows=hot_rows, fraction=fraction)
+    named = pairs.join(targets, "dst")  # a vertex has one row, so only edges can be skewed
     wide_list = edges.sparkSession.createDataFrame(wide, edges.select("src").schema).withColumn("__wide", F.lit(True))
     mark = lambda df: df.join(F.broadcast(wide_list), "src", "left") if wide else df.withColumn("__wide", F.lit(False))
     slot = F.when(F.col("__wide"), F.pmod(F.xxhash64("dst"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")

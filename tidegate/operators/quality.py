@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators.skew import balanced_join, lookup_join
+from tidegate.session import store
 
 CRITICAL = "critical"
 ERROR_SCHEMA = "row_id bigint, rule_id string, column_name string, value string, severity string"
@@ -209,7 +210,8 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], columns
         ),
         lambda e: e.isNotNull(),
     )
-    compared = compared.withColumn("diffs", F.when(in_both, differing).otherwise(F.array()))
+    # Stored once: the five reports read the outcome, not both tables again.
+    compared = store(compared.withColumn("diffs", F.when(in_both, differing).otherwise(F.array())), "compared")
     is_missing, is_extra = F.col("n_t") == 0, F.col("n_s") == 0
     is_double = (F.col("n_s") > 1) | (F.col("n_t") > 1)
     wrong = is_missing | is_extra | is_double | (F.size("diffs") > 0)

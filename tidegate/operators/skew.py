@@ -1,8 +1,9 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
-Hot keys are looked up first (a bounded list). Rows of a hot key are spread over `SALTS` shuffle
-groups, and only the partner rows of hot keys are copied once per group. Which keys count as hot
-changes the plan, never the result.
+By default a join is left to adaptive execution, which splits the large partitions of a skewed join. Where
+hot keys are known, or asked for by `hot_rows`, their rows are spread over `SALTS` shuffle groups, and
+only the partner rows of hot keys are copied once per group; keys beyond the bounded list are again
+left to adaptive execution. Which keys count as hot changes the plan, never the result.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 MAX_HOT_KEYS = 1000
 HOT_ROWS = 2_000_000
 SALTS = 64
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
 
 _SALT = "__salt"
 
@@ -37,13 +38,28 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, fract
     return [tuple(row[k] for k in keys) for row in counted.collect()]
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `max_rows` rows; reads no more than needed to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when `df` has at most `max_rows` rows and `max_bytes` bytes; reads no more than needed to tell.
+
+    Texts and binaries count by their bytes, nested values by their printed form, others by 16.
+    """
+    def width(field: T.StructField) -> Column:
+        own = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            own = F.to_json(F.struct(own))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.lit(16)
+        return F.coalesce(F.octet_length(own), F.lit(0)) + 16
+
+    size = F.lit(0).cast("bigint")
+    for field in df.schema:
+        size = size + width(field)
+    row = df.limit(max_rows + 1).select(size.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).first()
+    return row.n <= max_rows and (row.w or 0) <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if its row count was checked to be small, else unchanged."""
+    """`df` with a broadcast hint if its rows and bytes were checked to be few, else unchanged."""
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
@@ -52,7 +68,7 @@ def balanced_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     fraction: float = 0.05,
     salts: int = SALTS,
     hot: list[tuple] | None = None,
@@ -60,12 +76,13 @@ def balanced_join(
     """Equi-join on same-named columns; the left side may have hot keys.
 
     `how`: inner, left, left_semi or left_anti (the kinds for which copying the right side of hot
-    keys keeps the result). `hot` may carry keys found earlier, so that a loop looks once.
+    keys keeps the result). `hot` may carry keys found earlier, so that a loop looks once; with `hot_rows`
+    they are looked for here. Without either it is a plain join and starts no job.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"balanced_join cannot split a {how} join")
     on = list(on)
-    if hot is None:
+    if hot is None and hot_rows is not None:
         hot = hot_keys(left, on, hot_rows, fraction)
     if not hot:
         return left.join(right, on, how)
@@ -95,7 +112,7 @@ def lookup_join(
     max_broadcast_rows: int = BROADCAST_ROWS,
     **balance,
 ) -> DataFrame:
-    """Join with a usually small right side: broadcast once its row count was checked, else balanced."""
+    """Join with a usually small right side: broadcast once its size was checked, else balanced."""
     if is_small(right, max_broadcast_rows):
         return left.join(F.broadcast(right), list(on), how)
     return balanced_join(left, right, on, how, **balance)
