@@ -1,6 +1,6 @@
 """Quality classifier: a sparse ensemble of rules over text statistics.
 
-1. `statistics` are column expressions over the text alone: shares of characters, words and lines.
+1. Statistics of the text alone: shares of characters, words and lines, computed in one pass.
 2. Shallow trees of a random forest are grown on the labelled rows. Every path from a root to a node
    is a conjunction of comparisons: a rule.
 3. A lasso logistic regression on the rules' indicators keeps few of them, each with a weight.
@@ -17,54 +17,58 @@ the model is the constant share of good ones (1/2 without any). Rows are scored
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
+from operator import eq
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidegate.llm.texts import SPACES, crc_mod
+from tidegate.llm.texts import annotate, crc_mod
 from tidegate.session import store
 
 Condition = tuple[str, bool, float]  # statistic, whether it must be at most the threshold, threshold
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Named statistics of a text; all are 0 for null and for texts of white space."""
-    t = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
-    chars = F.length(t)
-    words, lines = F.split(t, "[ \\t-\\r]+"), F.split(t, "\n")
-    n_words, n_lines = F.size(words), F.size(lines)
-
-    def share(part: Column, whole: Column) -> Column:
-        return F.when(chars == 0, 0.0).otherwise(part / whole)
-
-    def chars_of(pattern: str) -> Column:
-        return chars - F.length(F.regexp_replace(t, pattern, ""))
-
-    def literal(piece: str) -> Column:
-        return chars - F.length(F.replace(t, F.lit(piece), F.lit("")))
-
-    return {
-        "log_words": F.log1p(F.when(chars == 0, 0).otherwise(n_words)),
-        "word_length": share(chars, n_words),
-        "upper": share(chars_of(r"\p{Lu}+"), chars),
-        "digits": share(chars_of("[0-9]+"), chars),
-        "symbols": share(chars_of(r"[^\p{L}\p{N}\s.,;:!?'\"()-]+"), chars),
-        "tails": share(chars_of(r"[#$%&*!?=~^+]{2,}(?!\S)"), n_words),
-        "bangs": share(literal("!!"), n_words),
-        "bars": share(literal("|"), n_words),
-        "stops": share(literal("."), n_words),
-        "commas": share(literal(","), n_words),
-        "echoes": share(chars_of(r"(?<!\S)(\S+)(?: \1(?!\S))+"), chars),
-        "distinct_words": share(F.size(F.array_distinct(words)), n_words),
-        "distinct_lines": share(F.size(F.array_distinct(lines)), n_lines),
-        "line_words": share(n_words, n_lines),
-    }
+_UPPER = bytes(range(65, 91))
+_DIGIT = bytes(range(48, 58))
+_SYMBOL = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in ".,;:!?'\"()-")
+_TAIL = re.compile(rb"[#$%&*!?=~^+]{2,}(?!\S)")
+NAMES = (
+    "log_words word_length upper digits symbols tails bangs bars stops commas echoes distinct_words distinct_lines line_words"
+).split()
+STATISTICS = T.StructType([T.StructField(name, T.DoubleType()) for name in NAMES])
+
+
+def statistics_of(text: str | None) -> tuple[float, ...]:
+    """The statistics NAMES of one text; all are 0 for null and for texts of white space."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    words = raw.split()
+    n = len(words)
+    if not n:
+        return (0.0,) * len(NAMES)
+    chars, lines = len(text), raw.strip().split(b"\n")
+
+    def share(deleted: bytes) -> float:
+        return (len(raw) - len(raw.translate(None, deleted))) / chars
+
+    return (
+        math.log1p(n), chars / n, share(_UPPER), share(_DIGIT), share(_SYMBOL), len(_TAIL.findall(raw)) / n,
+        raw.count(b"!!") / n, raw.count(b"|") / n, raw.count(b".") / n, raw.count(b",") / n,
+        sum(map(eq, words, islice(words, 1, None))) / n, len(set(words)) / n, len(set(lines)) / len(lines), n / len(lines),
+    )
+
+
+def with_statistics(docs: DataFrame, name: str = "statistics") -> DataFrame:
+    """`docs` with the struct `name` of the text's statistics."""
+    return annotate(docs, "text", name, STATISTICS, lambda texts: [statistics_of(t) for t in texts])
 
 
 @dataclass(frozen=True)
@@ -110,8 +114,9 @@ def labelled(stats: DataFrame, labels: DataFrame, label: str = "quality") -> Dat
     return stats.join(agreed, stats["doc_id"] == agreed["__id"]).drop("__id")
 
 
-def fit_rules(examples: DataFrame, names: Sequence[str], trees: int = 16, depth: int = 3, penalty: float = 5e-4, seed: int = 7) -> RuleModel:
+def fit_rules(examples: DataFrame, names: Sequence[str], trees: int = 16, depth: int = 3, penalty: float = 5e-4, steps: int = 40, seed: int = 7) -> RuleModel:
     """Fit on `examples`: the statistics `names` and a `label` of 0.0 or 1.0."""
+    examples = store(examples.select("label", *names), "examples")  # read by every step of both fits
     counts = {r.label: r.n for r in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     good, bad = counts.get(1.0, 0), counts.get(0.0, 0)
     if not good or not bad:
@@ -127,23 +132,23 @@ def fit_rules(examples: DataFrame, names: Sequence[str], trees: int = 16, depth:
     columns = {n: F.col(n) for n in names}
     indicators = F.array(*[holds(rule, columns).cast("double") for rule in rules])
     coded = assembled.select(array_to_vector(indicators).alias("features"), "label")
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=penalty, maxIter=100, standardization=True).fit(coded)
+    lasso = LogisticRegression(elasticNetParam=1.0, regParam=penalty, maxIter=steps, tol=1e-4, standardization=True).fit(coded)
     weights = lasso.coefficients.toArray()
     return RuleModel(float(lasso.intercept), tuple((r, float(w)) for r, w in zip(rules, weights) if w))
 
 
-def stored_statistics(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """doc_id and the statistics of every document, stored; and their names."""
-    stats = statistics(F.col("text"))
-    return store(docs.select("doc_id", *[c.alias(n) for n, c in stats.items()]), "statistics"), list(stats)
+def stored_statistics(docs: DataFrame) -> DataFrame:
+    """doc_id and the statistics of every document, stored."""
+    return store(with_statistics(docs.select("doc_id", "text")).select("doc_id", "statistics.*"), "statistics")
 
 
-def fit_quality(stats: DataFrame, names: Sequence[str], labels: DataFrame, folds: int = 5) -> RuleModel:
+def fit_quality(stats: DataFrame, labels: DataFrame, folds: int = 5) -> RuleModel:
     """The model of `labels.quality`, learned from rows whose crc32(doc_id) modulo `folds` is not 0."""
-    return fit_rules(labelled(stats.filter(crc_mod(F.col("doc_id"), folds) != 0), labels), names)
+    return fit_rules(labelled(stats.filter(crc_mod(F.col("doc_id"), folds) != 0), labels), NAMES)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents that the classifier scores at `threshold` or more, unchanged."""
-    model = fit_quality(*stored_statistics(docs), labels)
-    return docs.filter(model.score(statistics(F.col("text"))) >= threshold)
+    model = fit_quality(stored_statistics(docs), labels)
+    scored = with_statistics(docs, "__statistics")
+    return scored.filter(model.score({n: F.col("__statistics")[n] for n in NAMES}) >= threshold).select(*docs.columns)
