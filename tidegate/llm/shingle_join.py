@@ -9,12 +9,13 @@ their sets is at least `percent` / 100. The result names connected components, a
   Which shingles count as frequent is estimated on a part of the documents (at most `MOST_FREQUENT`
   are broadcast); any order is correct, a better one only gives shorter lists.
 * **Index lists** of one entry are dropped. In each other list every set is paired with one leader;
-  pairs whose prefixes agree much join into clusters of similar sets.
+  pairs whose sketches agree join into clusters of similar sets.
 * **Within a cluster** blocks of sets of like size are compared: the overlap of a set with all others
   is derived from the computed overlaps of its most similar leader, by the index lists of just the
   shingles in which both differ; blocks of other sizes are skipped, as are sets that are linked already.
-* **Across clusters** entries of one list are paired, skipping by size and position in the list, then by
-  a 1024-bit parity bitmap whose distance bounds the symmetric difference. Survivors are verified.
+* **Across clusters** entries of one list are paired, skipping by size and by position in the sets, then
+  by how many lists have both, then by a 1024-bit parity bitmap whose distance bounds the symmetric
+  difference. Survivors are verified.
 
 No step expands equal sets or clusters into all pairs of rows; clusters too large for a task
 are dealt into pairs of blocks. Links stay in DataFrames. Sets are read from the texts a second time,
@@ -39,16 +40,16 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tidegate.llm.components import components
 from tidegate.llm.texts import LOWER_BYTES, slices
-from tidegate.session import store
+from tidegate.session import discard, store
 
 WORDS = 5
 MOST_FREQUENT = 200_000
-SAMPLED_ONE_IN, SAMPLED_LEAST = 32, 3
+SAMPLED_ONE_IN, SAMPLED_LEAST = 16, 3
 BITMAP_BITS = 1024
 FILTER_BITS = 1 << 24
 BLOCK_SETS, BLOCK_SHINGLES = 512, 500_000
 LIST_CHUNK = 1024
-LEADER_TOKENS = 24
+HEAD = 24
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -137,7 +138,7 @@ def _sets_of(docs: DataFrame, schema: str, make) -> DataFrame:
     arrow = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1, 4 << 20):
+        for part in slices(batches, 1, 1 << 20):
             rows = []
             for doc_id, tokens in zip(part.column(0).to_pylist(), shingle_sets(part.column(1).to_pylist())):
                 row = make(doc_id, tokens, set_key(tokens))
@@ -182,18 +183,19 @@ def least_overlap(total, percent: int):
 
 
 def document_sets(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id, n, key, route, bitmap and prefix of every document, stored."""
+    """doc_id, n, key, route, bitmap, head (a sketch: the least hashes) and prefix of every document, stored."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
 
     def make(doc_id, tokens, key):
         n = len(tokens)
         if not n:
-            return doc_id, 0, None, None, None, None
+            return doc_id, 0, None, None, None, None, None
         prefix = in_global_order(tokens, frequent.value)[: n - -(-percent * n // 100) + 1]
-        return doc_id, n, key, route(key), parity_bitmap(tokens), _signed(prefix)
+        head = tokens[:HEAD].astype(np.uint32).view(np.int32).tolist()
+        return doc_id, n, key, route(key), parity_bitmap(tokens), head, _signed(prefix)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return store(_sets_of(docs, f"doc_id {kind}, n bigint, key binary, route bigint, bitmap array<bigint>, prefix array<bigint>", make), "sets")
+    return store(_sets_of(docs, f"doc_id {kind}, n bigint, key binary, route bigint, bitmap array<bigint>, head array<int>, prefix array<bigint>", make), "sets")
 
 
 def index_lists(sets: DataFrame) -> DataFrame:
@@ -209,8 +211,8 @@ def index_lists(sets: DataFrame) -> DataFrame:
 
 
 def similar_clusters(lists: DataFrame, sets: DataFrame, share: float) -> DataFrame:
-    """(route, cluster) of sets that agree with leaders in at least `share` of their first prefix shingles."""
-    heads = sets.select("route", F.slice("prefix", 1, LEADER_TOKENS).alias("head"))
+    """(route, cluster) of sets whose heads agree with those of leaders in at least `share`."""
+    heads = sets.select("route", "head")
     pairs = lists.filter("route <> leader").select("route", "leader").distinct()
     both = pairs.join(heads, "route").join(heads.select(F.col("route").alias("leader"), F.col("head").alias("other")), "leader")
     alike = both.filter(F.size(F.array_intersect("head", "other")) >= F.lit(share) * F.least(F.size("head"), F.size("other")))
@@ -239,12 +241,18 @@ def pairs_across(lists: DataFrame, clusters: DataFrame, sets: DataFrame, percent
 
     def fits(y: Column) -> Column:
         x = F.col("x")
-        # At the first shingle that both share, the overlap is at most 1 and what follows in either.
-        rest = 1 + F.least(x["n"] - x["pos"], y["n"] - y["pos"]) - 1
-        return _may_link(x["n"], y["n"], percent) & ((100 + percent) * rest >= percent * (x["n"] + y["n"]))
-
-    pairs = met.select(F.col("x.route").alias("r1"), F.explode(F.transform(F.filter("s2", fits), lambda y: y["route"])).alias("r2"))
-    pairs = pairs.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
+        # What both share lies before the place in either set or from there on.
+        most = F.least(x["pos"], y["pos"]) + F.least(x["n"] - x["pos"], y["n"] - y["pos"])
+        return _may_link(x["n"], y["n"], percent) & ((100 + percent) * most >= percent * (x["n"] + y["n"]))
+
+    met = met.select("x", F.explode(F.filter("s2", fits)).alias("y"))
+    first, second = (F.when((F.col("x.route") < F.col("y.route")) == low, F.col("x")).otherwise(F.col("y")) for low in (True, False))
+    met = met.select(first.alias("p"), second.alias("q")).select(F.col("p.route").alias("a"), F.col("q.route").alias("b"), F.col("p.n").alias("n1"), F.col("q.n").alias("n2"))
+    # Of two sets that link, at most n - overlap shingles of either are missing in the other, so their
+    # prefixes share at least what is left of the shorter one. Every shared one is a list with both.
+    least = F.ceil(percent * (F.col("n1") + F.col("n2")) / (100 + percent))
+    left_over = [n - F.ceil(percent * n / 100) + 1 - (n - least) for n in (F.col("n1"), F.col("n2"))]
+    pairs = met.groupBy("a", "b", "n1", "n2").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= F.least(*left_over)).select("a", "b").distinct()
     maps = sets.select("route", "n", "bitmap")
     both = pairs.join(maps.select(F.col("route").alias("a"), F.col("n").alias("n1"), F.col("bitmap").alias("m1")), "a")
     both = both.join(maps.select(F.col("route").alias("b"), F.col("n").alias("n2"), F.col("bitmap").alias("m2")), "b")
@@ -368,6 +376,7 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = 80, share: float = 0.
     lists = store(index_lists(sets), "lists")
     clusters = store(similar_clusters(lists, sets, share), "clusters")
     across = store(pairs_across(lists, clusters, sets, percent), "across")
+    discard(lists)
     needed = store(clusters.select("route").union(across.select("a")).union(across.select("b")).distinct(), "needed")
     tokens = needed_sets(docs, needed)
 
@@ -400,14 +409,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     # One row per set: copies are combined before the shuffle where they are on one executor.
     sets = store(rows.filter("n > 0").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("route").alias("route"),
-        F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix"),
+        F.first("bitmap").alias("bitmap"), F.first("head").alias("head"), F.first("prefix").alias("prefix"),
     ), "distinct_sets")
+    members = store(rows.select("doc_id", "n", "key"), "members")
+    discard(rows)
     joined = components(links(docs, sets, percent))
     named = sets.select("key", "least").join(joined, F.col("key") == F.col("vertex"), "left")
     named = named.select(F.col("key").alias("of"), "least", F.coalesce("component", "key").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     answer = named.join(least, "component").select("of", "component_id")
-    return rows.join(answer, rows["key"] == answer["of"], "left").select(
+    return members.join(answer, members["key"] == answer["of"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 

@@ -28,7 +28,7 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, "[ \\t-\\r]+"))).cast("long")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the texts of a slice hold about `most` bytes, but whole rows."""
     for batch in batches:
         own = batch.column(column)
