@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidegate.llm.components import components
-from tidegate.llm.texts import LOWER_BYTES, slices
+from tidegate.llm.texts import LOWER_BYTES, release_memory, slices, small_batches
 from tidegate.session import discard, store
 
 WORDS = 5
@@ -148,7 +148,9 @@ def _sets_of(docs: DataFrame, schema: str, make) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), type=t) for c, t in zip(columns, arrow)], names=fields.names,
             )
+        release_memory()
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, fields)
 
 
@@ -383,6 +385,8 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = 80, share: float = 0.
     def within(group: pd.DataFrame) -> pd.DataFrame:
         keys = group["key"].tolist()
         found = linked_in_block([np.frombuffer(t, np.uint64) for t in group["tokens"]], percent)
+        if len(keys) > 100:
+            release_memory()
         return pd.DataFrame({"a": [keys[i] for i, _ in found], "b": [keys[j] for _, j in found]})
 
     blocks = block_tasks(clusters, sets).join(tokens, "route")

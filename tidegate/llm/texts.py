@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -28,6 +29,26 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, "[ \\t-\\r]+"))).cast("long")
 
 
+#: Rows of an Arrow batch at most: texts are long, and a batch is held on both sides of the pipe.
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From here on Arrow batches of this session hold at most `BATCH_ROWS` rows; a smaller setting stays."""
+    if not 0 < int(spark.conf.get(_BATCH_CONF)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
+def release_memory() -> None:
+    """Give freed memory of this worker back to the system; workers stay idle next to later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the texts of a slice hold about `most` bytes, but whole rows."""
     for batch in batches:
@@ -62,5 +83,7 @@ def annotate(df: DataFrame, text: str, name: str, kind: T.StructType, function:
             columns = zip(*rows) if rows else [[] for _ in kind]
             made = pa.StructArray.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)], fields=list(arrow))
             yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
+        release_memory()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
