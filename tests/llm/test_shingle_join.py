@@ -120,3 +120,21 @@ def test_stage_keeps_one_of_each(spark, documents):
     assert sorted(r.doc_id for r in J.one_of_each(documents).collect()) == want
 
 
+
+
+A, B = "one two three four five six seven", "eight nine ten eleven twelve more words"
+
+
+@pytest.mark.parametrize("rows, want", [
+    ([(3, A), (5, A), (5, B)], [(3, A), (5, B)]),
+    ([(5, A), (5, B)], [(5, A), (5, B)]),
+    ([(5, ""), (5, B), (5, None)], [(5, ""), (5, B), (5, None)]),
+    ([(5, A), (5, A.upper()), (5, B), (5, B)], [(5, A), (5, B)]),
+    ([(None, A), (None, A), (None, B)], [(None, A), (None, B)]),
+    ([(5, ""), (5, ""), (6, A), (None, A), (None, A)], [(5, ""), (6, A), (None, A)]),
+])
+def test_one_row_of_each_component_stays(spark, rows, want):
+    """One doc_id on rows of different texts: no text goes without a near copy that stays."""
+    got = J.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    plain = lambda pairs: sorted((repr(k), (t or repr(t)).lower()) for k, t in pairs)
+    assert plain(got) == plain(want)

@@ -132,16 +132,22 @@ def parity_bitmap(tokens: np.ndarray) -> list[int]:
     return np.packbits(bits).view(np.int64).tolist()
 
 
-def _sets_of(docs: DataFrame, schema: str, make) -> DataFrame:
-    """Rows that `make(doc_id, tokens, key)` returns for documents with words, or None for no row."""
+def text_key(text: Column) -> Column:
+    """128 bits that tell the texts of rows with one doc_id apart; null for null."""
+    return F.unhex(F.md5(text))
+
+
+def _sets_of(docs: DataFrame, schema: str, make, *more: Column) -> DataFrame:
+    """Rows that `make(doc_id, tokens, key, *more)` returns for documents with words, or None for no row."""
     fields = T._parse_datatype_string(schema)
     arrow = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1, 1 << 20):
             rows = []
-            for doc_id, tokens in zip(part.column(0).to_pylist(), shingle_sets(part.column(1).to_pylist())):
-                row = make(doc_id, tokens, set_key(tokens))
+            others = [c.to_pylist() for c in part.columns[2:]]
+            for doc_id, tokens, *own in zip(part.column(0).to_pylist(), shingle_sets(part.column(1).to_pylist()), *others):
+                row = make(doc_id, tokens, set_key(tokens), *own)
                 if row is not None:
                     rows.append(row)
             columns = list(zip(*rows)) if rows else [()] * len(fields)
@@ -151,7 +157,7 @@ def _sets_of(docs: DataFrame, schema: str, make) -> DataFrame:
         release_memory()
 
     small_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, fields)
+    return docs.select("doc_id", "text", *more).mapInArrow(run, fields)
 
 
 def _signed(tokens: np.ndarray) -> list[int]:
@@ -185,19 +191,20 @@ def least_overlap(total, percent: int):
 
 
 def document_sets(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id, n, key, route, bitmap, head (a sketch: the least hashes) and prefix of every document, stored."""
+    """doc_id, row (key of the text), n, key, route, bitmap, head (a sketch: the least hashes) and prefix of every document, stored."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
 
-    def make(doc_id, tokens, key):
+    def make(doc_id, tokens, key, row):
         n = len(tokens)
         if not n:
-            return doc_id, 0, None, None, None, None, None
+            return doc_id, row, 0, None, None, None, None, None
         prefix = in_global_order(tokens, frequent.value)[: n - -(-percent * n // 100) + 1]
         head = tokens[:HEAD].astype(np.uint32).view(np.int32).tolist()
-        return doc_id, n, key, route(key), parity_bitmap(tokens), head, _signed(prefix)
+        return doc_id, row, n, key, route(key), parity_bitmap(tokens), head, _signed(prefix)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return store(_sets_of(docs, f"doc_id {kind}, n bigint, key binary, route bigint, bitmap array<bigint>, head array<int>, prefix array<bigint>", make), "sets")
+    schema = f"doc_id {kind}, row binary, n bigint, key binary, route bigint, bitmap array<bigint>, head array<int>, prefix array<bigint>"
+    return store(_sets_of(docs, schema, make, text_key(F.col("text")).alias("row")), "sets")
 
 
 def index_lists(sets: DataFrame) -> DataFrame:
@@ -407,37 +414,55 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = 80, share: float = 0.
     return store(inside.union(pairs.mapInPandas(verify, "a binary, b binary")), "links")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (the least doc_id reachable over links) of every document."""
+def _with_choice(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, row, n, component_id and stays of every document: whether it is the row that its component keeps.
+
+    `stays` is the row with the least doc_id, then text key; of rows without a doc_id it is one more.
+    """
     rows = document_sets(docs, percent)
+    own, lost = F.struct("doc_id", "row"), F.col("doc_id").isNull()
     # One row per set: copies are combined before the shuffle where they are on one executor.
     sets = store(rows.filter("n > 0").groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("route").alias("route"),
+        F.min(F.when(~lost, own)).alias("first"), F.min(F.when(lost, F.col("row"))).alias("first_lost"),
+        F.first("n").alias("n"), F.first("route").alias("route"),
         F.first("bitmap").alias("bitmap"), F.first("head").alias("head"), F.first("prefix").alias("prefix"),
     ), "distinct_sets")
-    members = store(rows.select("doc_id", "n", "key"), "members")
+    members = store(rows.select("doc_id", "row", "n", "key"), "members")
     discard(rows)
     joined = components(links(docs, sets, percent))
-    named = sets.select("key", "least").join(joined, F.col("key") == F.col("vertex"), "left")
-    named = named.select(F.col("key").alias("of"), "least", F.coalesce("component", "key").alias("component"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    answer = named.join(least, "component").select("of", "component_id")
-    return members.join(answer, members["key"] == answer["of"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    named = sets.select("key", "first", "first_lost").join(joined, F.col("key") == F.col("vertex"), "left")
+    named = named.select(F.col("key").alias("of"), "first", "first_lost", F.coalesce("component", "key").alias("component"))
+    least = named.groupBy("component").agg(F.min("first").alias("first"), F.min("first_lost").alias("first_lost"))
+    answer = named.select("of", "component").join(least, "component").select("of", "first", "first_lost")
+    found = members.join(answer, members["key"] == answer["of"], "left")
+    return found.select(
+        "doc_id", "row", "n", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        ((F.col("n") == 0) | F.when(lost, F.col("row") == F.col("first_lost")).otherwise(own == F.col("first"))).alias("stays"),
     )
 
 
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (the least doc_id reachable over links) of every document."""
+    return _with_choice(docs, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents without near duplicates: the one with the least doc_id of each component stays.
+    """The documents without near duplicates: one row of each component stays, the one with the least doc_id.
 
-    Documents with a null doc_id stay. Of rows with one doc_id that are in one component, one stays.
+    Rows are told apart by doc_id and text, so one doc_id may stand on rows of several components. Of a
+    component's rows with a null doc_id one stays besides. Rows without words link with nothing; of rows that
+    repeat both doc_id and text one stays.
     """
-    found = store(near_duplicates(docs, percent), "near_duplicates")
-    gone = store(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    kept = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
-    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("again"))
-    repeated = store(repeated, "repeated")
+    found = store(_with_choice(docs, percent).select("doc_id", "row", "stays"), "near_duplicates")
+    gone = store(found.filter("not stays").select("doc_id", "row").distinct(), "gone")
+    repeated = store(found.filter("stays").groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "row"), "repeated")
+    key = text_key(F.col("text"))
+
+    def those(rows: DataFrame, among: DataFrame, how: str) -> DataFrame:
+        return rows.join(among, rows["doc_id"].eqNullSafe(among["doc_id"]) & rows["__row"].eqNullSafe(among["row"]), how)
+
+    kept = those(docs.withColumn("__row", key), gone, "left_anti")
     if repeated.isEmpty():
-        return kept
-    first = kept.join(repeated, kept["doc_id"] == repeated["again"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, kept["doc_id"] == repeated["again"], "left_anti").unionByName(first)
+        return kept.drop("__row")
+    first = those(kept, repeated, "left_semi").dropDuplicates(["doc_id", "__row"])
+    return those(kept, repeated, "left_anti").unionByName(first).drop("__row")
