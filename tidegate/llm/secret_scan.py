@@ -70,9 +70,17 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24, needs="[0-9a-f]{24}"),
 )
+# A key runs from its first line to the END line of the same kind, before any other BEGIN. Without one, it has the
+# base64 lines that follow (after header fields and blank lines), or base64 pieces in the same line.
+_BREAK = r"[ \t]*(?:\r\n?|\n)[ \t>]*"
+_KEY = (
+    r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1PRIVATE KEY-----"
+    rf"|(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n]*)*(?:{_BREAK}(?=[\r\n]))*(?:{_BREAK}[A-Za-z0-9+/]+={{0,2}}(?=[ \t]*(?:[\r\n]|\Z)))+"
+    r"|(?:(?:\\[nrt])+[A-Za-z0-9+/]+={0,2}|[ \t]+(?:[A-Za-z0-9+/]{20,}={0,2}|[A-Za-z0-9+/]+={1,2}))+|)"
+)
 # Public formats of further credentials.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0),
+    Rule("private_key", _KEY, 0),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("chat_bot", r"xox[abprs]-[A-Za-z0-9-]+", 20),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
