@@ -79,3 +79,20 @@ def test_odd_rows(spark, extra):
 
 def test_no_python_runs(spark, folder):
     assert not runs_python(plan_of(QUERIES["op4_simhash"](spark, folder)))
+
+
+def test_query_names_neighbours_and_has_every_row(spark, tmp_path):
+    base = " ".join(f"w{i}" for i in range(300))
+    rows = [(20, base), (20, base), (21, base), (22, base + " end"), (40, "quite another text of few words"), (None, base), (60, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op4_simhash"](spark, str(tmp_path)).collect()
+    assert sorted(repr(r.doc_id) for r in got) == sorted(repr(k) for k, _ in rows)
+    prints = [int(r.fingerprint, 16) for r in got]
+    for r, own in zip(got, prints):
+        if r.doc_id is None or r.doc_id % 20:
+            assert r.within_3 is None and r.n_within_3 is None
+            continue
+        near = {o.fingerprint for o, p in zip(got, prints) if (own ^ p).bit_count() <= 3}
+        assert r.within_3.split(",") == sorted(near)
+        assert r.n_within_3 == sum(o.fingerprint in near for o in got) - 1
+    assert next(r.n_within_3 for r in got if r.doc_id == 20) >= 3

@@ -48,15 +48,20 @@ def op3_secret_scan(spark, folder):
 def op4_simhash(spark, folder):
     rows = store(compare_with_edits(table(spark, folder, "documents").select("doc_id", "text")), "compared")
     own, edited, following = (F.col("f1"), F.col("f2")), (F.col("e1"), F.col("e2")), (F.col("x1"), F.col("x2"))
-    # Search: documents whose id is divisible by 20 against all; how many others are within 3 bits.
+    # Search: documents whose id is divisible by 20 against all; how many other rows are within 3 bits, and their
+    # fingerprints: the rows of this result that have one of them are the neighbours.
     asked = rows.filter("doc_id % 20 = 0").select("f1", "f2").distinct()
-    sizes = rows.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n"))
-    near = neighbours(rows, asked).join(sizes, ["f1", "f2"]).groupBy("q1", "q2").agg((F.sum("n") - 1).alias("n_within_3"))
+    sizes = rows.groupBy("f1", "f2").agg(F.sum("copies").alias("n"))
+    near = neighbours(rows, asked).join(sizes, ["f1", "f2"]).groupBy("q1", "q2").agg(
+        (F.sum("n") - 1).alias("n_within_3"), F.array_join(F.array_sort(F.collect_list(as_text(F.col("f1"), F.col("f2")))), ",").alias("within_3"),
+    )
     counted = rows.join(near, (F.col("f1") == F.col("q1")) & (F.col("f2") == F.col("q2")), "left")
+    counted = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
     return counted.select(
         "doc_id", "n_chars", "edited_sha256", as_text(*own).alias("fingerprint"), as_text(*edited).alias("edited_fingerprint"),
         likeness(distance(*own, *edited)).alias("near_edited"), likeness(distance(*own, *following)).alias("near_next"),
         F.when(F.col("doc_id") % 20 == 0, F.col("n_within_3")).alias("n_within_3"),
+        F.when(F.col("doc_id") % 20 == 0, F.col("within_3")).alias("within_3"),
     )
 
 
