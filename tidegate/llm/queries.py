@@ -15,6 +15,7 @@ from tidegate.llm.secret_scan import BASE_RULES, find_secrets, listed, of_kinds
 from tidegate.llm.shingle_join import near_duplicates
 from tidegate.llm.simhash import as_text, compare_with_edits, distance, likeness, neighbours
 from tidegate.llm.texts import crc_mod
+from tidegate.llm.token_alignment import align_corpus
 from tidegate.llm.url_reputation import host_reputation, judge_urls, page_outcomes
 from tidegate.session import store
 
@@ -150,3 +151,8 @@ def op10_url_reputation(spark, folder):
     reputation = host_reputation(page_outcomes(pages, table(spark, folder, "documents"), table(spark, folder, "labels")))
     judged = judge_urls(pages.select("page_id", "url"), reputation)
     return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict", "judged.bound")
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, folder):
+    return align_corpus(table(spark, folder, "documents").select("doc_id", "text"))
