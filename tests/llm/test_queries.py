@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, folder, name):
 
 def test_all_queries_are_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_stages(spark, folder, documents):

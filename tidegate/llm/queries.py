@@ -8,10 +8,12 @@ from tidegate.llm.chat_format import format_chats, read_back
 from tidegate.llm.decontamination import contaminated, find_hits, n_hit
 from tidegate.llm.hmm import score_texts
 from tidegate.llm.html_text import extract_text
+from tidegate.llm.importance_resampling import resample
 from tidegate.llm.mixing import mix
 from tidegate.llm.quality_rules import NAMES, fit_quality, stored_statistics
 from tidegate.llm.registry import QUERIES, SQL, query, table
 from tidegate.llm.secret_scan import BASE_RULES, find_secrets, listed, of_kinds
+from tidegate.llm.sharding import shard_documents
 from tidegate.llm.shingle_join import near_duplicates
 from tidegate.llm.simhash import as_text, compare_with_edits, distance, likeness, neighbours
 from tidegate.llm.texts import crc_mod
@@ -156,3 +158,67 @@ def op10_url_reputation(spark, folder):
 @query("op11_token_alignment")
 def op11_token_alignment(spark, folder):
     return align_corpus(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op12_histogram_shards", sql=r"""
+WITH sized AS (
+  SELECT doc_id, text, strlen(COALESCE(text, '')) + 1 AS size, substr(md5(COALESCE(text, '')), 1, 15) AS k1,
+    substr(md5(COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 15) AS k2
+  FROM documents
+), placed AS (
+  SELECT *, SUM(size) OVER (ORDER BY k1, k2 ROWS UNBOUNDED PRECEDING) AS after, SUM(size) OVER () AS total FROM sized
+), sharded AS (SELECT *, FLOOR((2 * after - size)::DOUBLE * 16 / (2 * total))::INT AS shard FROM placed),
+bits AS (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(b)),
+steps AS (SELECT list(c ORDER BY b) AS t FROM bits),
+digits AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+sums AS (
+  SELECT doc_id, xor(list_reduce(
+    list_prepend(4294967295, list_transform(regexp_extract_all(h, '..'), lambda p: ('0x' || p)::BIGINT)), lambda c, p: xor(c >> 8, t[xor(c & 255, p) + 1])
+  ), 4294967295) AS text_crc32 FROM digits, steps
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  ROW_NUMBER() OVER (PARTITION BY shard ORDER BY k1, k2) - 1 AS slot, NULL::INT AS grown_shard
+FROM sharded JOIN sums USING (doc_id)
+""")
+def op12_histogram_shards(spark, folder):
+    sharded = shard_documents(table(spark, folder, "documents"), keep=["doc_id"])
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op13_importance_resampling", sql=r"""
+WITH bits AS (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(b)),
+steps AS (SELECT list(c ORDER BY b) AS t FROM bits),
+texts AS (
+  SELECT 's' AS side, doc_id, ROW_NUMBER() OVER () AS k, text FROM documents
+  UNION ALL SELECT 't', NULL, ROW_NUMBER() OVER (), text FROM benchmark
+), worded AS (
+  SELECT side, doc_id, k, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), features AS (
+  SELECT side, k, UNNEST(w) AS f FROM worded
+  UNION ALL SELECT side, k, UNNEST(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM worded
+), counted AS (SELECT side, k, f, COUNT(*) AS n FROM features GROUP BY ALL),
+hashed AS (
+  SELECT f, xor(list_reduce(
+    list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(f)), '..'), lambda p: ('0x' || p)::BIGINT)), lambda c, p: xor(c >> 8, t[xor(c & 255, p) + 1])
+  ), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM counted), steps
+), dealt AS (SELECT side, k, bucket, n FROM counted JOIN hashed USING (f)),
+shares AS (
+  SELECT bucket, COALESCE(SUM(n) FILTER (side = 's'), 0)::DOUBLE AS s, COALESCE(SUM(n) FILTER (side = 't'), 0)::DOUBLE AS t FROM dealt GROUP BY bucket
+), gains AS (
+  SELECT bucket, FLOOR(1000 * LN((t + 1) * (SUM(s) OVER () + 10000) / ((s + 1) * (SUM(t) OVER () + 10000)))) AS gain FROM shares
+), sums AS (SELECT k, SUM(gain * n) AS gain FROM dealt JOIN gains USING (bucket) WHERE side = 's' GROUP BY k),
+weighed AS (
+  SELECT doc_id, len(w) AS words, len(w) + GREATEST(len(w) - 1, 0) AS n_features,
+    COALESCE(FLOOR(gain / (len(w) + GREATEST(len(w) - 1, 0))), 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('7:' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT::DOUBLE AS h
+  FROM worded LEFT JOIN sums USING (k) WHERE side = 's'
+), scored AS (SELECT *, weight + FLOOR(-1000 * LN(-LN((h + 0.5) / 4294967296)))::BIGINT AS score FROM weighed),
+ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS place, FLOOR(25 * SUM((words >= 20)::INT) OVER () / 100) AS drawn FROM scored
+)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN words >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+""")
+def op13_importance_resampling(spark, folder):
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
