@@ -47,7 +47,7 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: At most so many id pairs are broadcast with their counts.
 FREQUENT = 1 << 20
 #: Texts are worked in slices, long ones in pieces, of about so many bytes.
-PIECE = 8 << 20
+PIECE = 4 << 20
 _DENSE = 256
 
 # A space after such a byte starts a segment. Left out: ASCII white space and the last bytes of white space
