@@ -40,11 +40,16 @@ def stitch_scd1(
         raise ValueError("no key columns configured")
     if scd_type != 1:
         raise ValueError(f"SCD type {scd_type} is not supported")
-    incoming = one_per_key(new.drop(batch_column), keys, latest_by)
-    old = history.drop(batch_column)
+    stitched = upsert_rows(new.drop(batch_column), history.drop(batch_column), keys, latest_by)
+    return stitched.withColumn(batch_column, F.lit(batch_id).cast("bigint"))
+
+
+def upsert_rows(new: DataFrame, held: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
+    """The rows of `held` whose key `new` lacks, and one row for each key of `new`. Null keys match each other."""
+    incoming = one_per_key(new, keys, latest_by)
     key = null_safe_key(keys).alias("__key")
-    kept = balanced_join(old.select("*", key), incoming.select(key), ["__key"], "left_anti").drop("__key")
-    return kept.unionByName(incoming).withColumn(batch_column, F.lit(batch_id).cast("bigint"))
+    kept = balanced_join(held.select("*", key), incoming.select(key), ["__key"], "left_anti").drop("__key")
+    return kept.unionByName(incoming)
 
 
 def latest_successful_batch(log: DataFrame) -> DataFrame:

@@ -519,7 +519,7 @@ query(
     "n12_rejected_rules",
     """SELECT rule_no, function_name FROM part_rules
        WHERE function_name = 'no_such_rule'
-          OR (function_name <> 'trim' AND (function_params IS NULL OR function_params LIKE '%:000%'))
+          OR (function_name <> 'trim' AND (function_params IS NULL OR function_params LIKE '%:00%'))
           OR (function_name = 'type_conversion' AND function_params LIKE '%upper%')
           OR (function_name = 'date_conversion' AND function_params NOT LIKE '%tgt%')""",
     inputs=("part_rules",),

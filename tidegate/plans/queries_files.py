@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators import columns as P
+from tidegate.operators.dimensions import upsert_rows
 from tidegate.operators.feeds import observe_count
 from tidegate.plans.inputs import derived, table
 from tidegate.plans.jobs import run_jobs
@@ -19,6 +20,7 @@ from tidegate.session import scratch_path
 from tidegate.sources import catalog as C
 from tidegate.sources import readers as R
 from tidegate.sources import writers as K
+from tidegate.streaming import bucketed_table as B
 from tidegate.streaming import incremental as I
 
 ORDER_TEXT_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
@@ -379,22 +381,42 @@ def _(spark, sf):
 
 @query("i02_incremental_load", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, 1 = 1 AS at_top FROM orders")
 def _(spark, sf):
-    path = scratch_path(spark, "orders_inc")
+    path, log = scratch_path(spark, "orders_inc"), scratch_path(spark, "load_log")
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     # Some rows arrive late, with a date that was loaded already as the highest one.
     late = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") == F.lit("1997-12-31").cast("timestamp"))
-    keys = ["o_orderkey"]
-    mark = I.incremental_load(o.filter("o_orderdate < '1998-01-01'").filter(~late), "o_orderdate", None, path, keys)
-    mark = I.incremental_load(o.filter("o_orderdate < '1998-01-01'"), "o_orderdate", mark, path, keys)
-    mark = I.incremental_load(o, "o_orderdate", mark, path, keys)
-    mark = I.incremental_load(o, "o_orderdate", mark, path, keys)
-    read = spark.read.parquet(path)
+    early = o.filter("o_orderdate < '1998-01-01'")
+    for source in (early.filter(~late), early, o, o):
+        mark = I.incremental_load(source, "o_orderdate", path, log, ["o_orderkey"])
+    read = I.loaded_rows(spark, path, log, o.schema)
     return read.select(
         "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
         (F.lit(mark) == read.agg(F.max("o_orderdate")).scalar()).alias("at_top"),
     )
 
 
+@query(
+    "i02_repeat_first",
+    """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderdate < '1998-01-01' THEN 1 ELSE 2 END AS run, (SELECT COUNT(*) FROM orders WHERE o_orderdate < '1998-01-01') AS first_rows,
+         (SELECT COUNT(*) FROM orders) AS logged_rows FROM orders""",
+)
+def _(spark, sf):
+    # The first load dies between its rows and its log row and is repeated; the second leaves half its rows behind before it is repeated.
+    path, log = scratch_path(spark, "orders_inc"), scratch_path(spark, "load_log")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    first = o.filter("o_orderdate < '1998-01-01'")
+    first.write.parquet(f"{path}/run=1")
+    I.incremental_load(first, "o_orderdate", path, log)
+    o.filter("o_orderdate > '1998-03-01'").write.parquet(f"{path}/run=2")
+    for _ in range(2):
+        I.incremental_load(o, "o_orderdate", path, log)
+    runs = I.committed_runs(spark, path, log)
+    sums = runs.agg(F.max(F.when(F.col("run") == 1, F.col("rows"))).alias("first_rows"), F.sum("rows").alias("logged_rows"))
+    edge = F.lit("1998-01-01").cast("timestamp")
+    rows = I.loaded_rows(spark, path, log, o.schema).withColumn("run", F.when(F.col("o_orderdate") < edge, 1).otherwise(2))
+    return rows.select("o_orderkey", "o_totalprice", "run").join(F.broadcast(sums), F.lit(True))
+
+
 @query("i03_bookmarked_files", "SELECT event_id, event_type FROM events")
 def _(spark, sf):
     source, target, bookmark = (scratch_path(spark, n) for n in ("in", "out", "bookmark"))
@@ -470,6 +492,59 @@ def _(spark, sf):
     return kept.unionByName(rejected)
 
 
+@query(
+    "i04_audit",
+    """WITH parts AS (SELECT *, CASE WHEN seg_raw < 'G' THEN 0 ELSE 1 END AS batch_id, NULLIF(trim(name_raw), '') AS clean FROM customer_feed WHERE seg_raw IS NOT NULL)
+       SELECT 'row' AS kind, c_custkey, batch_id::BIGINT AS batch_id, (batch_id + 1)::BIGINT AS file_id, NULL::BIGINT AS rows_read, NULL::BIGINT AS rows_rejected
+       FROM parts WHERE clean IS NOT NULL
+       UNION ALL SELECT 'file', NULL, batch_id, batch_id + 1, COUNT(*), NULL FROM parts GROUP BY batch_id
+       UNION ALL SELECT 'batch SUCCEEDED', NULL, batch_id, batch_id + 1, COUNT(*), COUNT(*) FILTER (clean IS NULL) FROM parts GROUP BY batch_id""",
+    inputs=("customer_feed",),
+)
+def _(spark, sf):
+    source, target, errors, bookmark = (scratch_path(spark, n) for n in ("in", "landed", "errors", "bookmark"))
+    feed = derived(spark, sf, "customer_feed").select("c_custkey", "name_raw", "seg_raw").filter("seg_raw is not null")
+    audit = f"{bookmark}_audit"
+    for part in (feed.filter("seg_raw < 'G'"), feed.filter("seg_raw >= 'G'")):
+        part.coalesce(1).write.mode("append").parquet(source)  # one file for each batch, so that its id is known
+        stream = I.file_stream(spark, source, feed.schema)
+        I.stream_landing(stream, target, errors, bookmark, LANDING_RULES, LANDING_CHECKS, ["c_custkey"])
+    columns = "c_custkey bigint, file_id bigint"
+    rows = I.landed_rows(spark, target, audit, T.StructType.fromDDL(columns)).select(
+        F.lit("row").alias("kind"), "c_custkey", "batch_id", "file_id", F.lit(None).cast("bigint").alias("rows_read"), F.lit(None).cast("bigint").alias("rows_rejected")
+    )
+    none = F.lit(None).cast("bigint")
+    files = I.landing_files(spark, audit).select(F.lit("file").alias("kind"), none.alias("c_custkey"), "batch_id", "file_id", "rows_read", none.alias("rows_rejected"))
+    batches = I.landing_audit(spark, audit).select(
+        F.concat(F.lit("batch "), "status").alias("kind"), none.alias("c_custkey"), "batch_id", F.col("last_file_id").alias("file_id"), "rows_read", "rows_rejected"
+    )
+    return rows.unionByName(files).unionByName(batches)
+
+
+@query(
+    "i05_touched_buckets",
+    """WITH placed AS (SELECT *, ('0x' || substr(md5('{"c_custkey":' || c_custkey || '}'), 1, 8))::BIGINT % 64 AS bucket FROM customer),
+       touched AS (SELECT DISTINCT bucket FROM placed WHERE c_custkey <= 2)
+       SELECT c_custkey, CASE WHEN c_custkey <= 2 THEN 0.0 ELSE c_acctbal END AS c_acctbal, bucket::INT AS bucket, bucket IN (FROM touched) AS rewritten, (SELECT COUNT(*) FROM touched) AS folders
+       FROM placed""",
+)
+def _(spark, sf):
+    # Two customers change: only their buckets are written again.
+    target = scratch_path(spark, "versions")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    changes = rows.filter("c_custkey <= 2").withColumn("c_acctbal", F.lit(0.0))
+    merge = lambda new, held: upsert_rows(new, held, ["c_custkey"])
+    old = B.rewrite_buckets(rows, target, ["c_custkey"], merge)
+    new = B.rewrite_buckets(changes, target, ["c_custkey"], merge)
+    moved = [f for b, f in new.folders.items() if old.folders[b] != f]
+    write = F.element_at(F.split("_metadata.file_path", "/"), -3)
+    read = B.read_version(spark, target)
+    return read.select(
+        "c_custkey", "c_acctbal", B.bucket_of(["c_custkey"], new.buckets).alias("bucket"),
+        (write == F.lit(moved[0].split("/")[1])).alias("rewritten"), F.lit(len(moved)).cast("bigint").alias("folders"),
+    )
+
+
 @query(
     "i05_stream_upsert",
     """WITH n AS (SELECT c_custkey, MAX(c_acctbal) AS c_acctbal FROM customer_batch GROUP BY 1)

@@ -36,8 +36,8 @@ def build_session(app: str = "tidegate", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    On one machine (a `local` or `local[n]` master) an unset folder is replaced by a fresh temporary
-    one, because all tasks share that machine. Everywhere else the setting is required.
+    Where it is unset, a `local` or `local[n]` master uses a folder below the warehouse, which all its tasks share.
+    Everywhere else the setting is required.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
@@ -46,10 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-    local = tempfile.mkdtemp(prefix="tidegate-")
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set(CHECKPOINT_CONF, local)
-    return local
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidegate"
+    spark.sparkContext.setCheckpointDir(own)
+    spark.conf.set(CHECKPOINT_CONF, own)
+    return own
 
 
 _WORKSPACES: ContextVar[tuple[str, ...]] = ContextVar("workspaces", default=())
