@@ -52,7 +52,7 @@ def test_random_graphs(spark, seed):
     assert got == _simulate(nodes, edges, 0, 50)
     managers = [(str(s), str(d)) for s, d in edges]
     pairs = spark.createDataFrame(managers, "currentnode string, childnode string")
-    chains = H.repair_chains(H.unreachable(result), pairs, hot_rows=3, fraction=1.0).collect()
+    chains = H.repair_chains(H.unreachable(result), pairs).collect()
     assert {r["node"]: (r["newPath"], r["status"]) for r in chains} == {
         str(n): _climb(str(n), managers) for n in nodes if got[n][0] == math.inf
     }
@@ -84,3 +84,36 @@ def test_max_depth_leaves_open_chains(spark):
 
 def test_no_python_in_the_loop(spark):
     assert not runs_python(plan_of(_expand(spark, [0, 1], [(0, 1)])))
+
+
+@pytest.mark.parametrize("end", ["no_manager", "cycle"])
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch, end):
+    n, rounds = 4096, []
+    keep = H.cut_lineage
+    monkeypatch.setattr(H, "cut_lineage", lambda df: rounds.append(1) or keep(df))
+    pairs = [(f"{i + 1:05d}", f"{i:05d}") for i in range(n)] + ([("04000", f"{n:05d}")] if end == "cycle" else [])
+    chains = H.repair_chains(spark.createDataFrame([("00000",), ("04090",)], "node string"), spark.createDataFrame(pairs, "currentnode string, childnode string"))
+    got = {r.node: (r.newPath, r.status) for r in chains.collect()}
+    assert len(rounds) <= 14
+    if end == "cycle":
+        assert got["00000"] == ([f"{i:05d}" for i in range(1, n + 1)] + ["04000"], "cycle")
+        assert got["04090"] == ([f"{i:05d}" for i in [*range(4091, n + 1), *range(4000, 4091)]], "cycle")
+    else:
+        assert got["00000"] == ([f"{i:05d}" for i in range(1, n + 1)], "no_manager") and got["04090"][0] == [f"{i:05d}" for i in range(4091, n + 1)]
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 5, 8])
+def test_depth_limits_equal_a_plain_climb(spark, depth):
+    rnd = random.Random(depth)
+    managers = [(str(rnd.randrange(30)), str(c)) for c in range(30)] + [("40", "41"), ("41", "42"), ("42", "43")]
+    pairs = spark.createDataFrame(managers, "currentnode string, childnode string")
+    nodes = spark.createDataFrame([(str(n),) for n in [*range(30), 40, 41, 42, 43, 99]], "node string")
+    for r in H.repair_chains(nodes, pairs, max_depth=depth).collect():
+        chain, status = _climb(r.node, managers)
+        steps = len(chain) + (status == "no_manager")
+        assert (r.newPath, r.status) == (chain[:depth], "open" if steps > depth else status)
+
+
+def test_chains_without_managers(spark):
+    nodes, none = spark.createDataFrame([("a",), (None,)], "node string"), spark.createDataFrame([], "currentnode string, childnode string")
+    assert sorted(map(str, ((r.node, r.newPath, r.status) for r in H.repair_chains(nodes, none).collect()))) == ["('a', [], 'no_manager')", "(None, [], 'no_manager')"]

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 from tidegate.operators.dimensions import upsert_rows
-from tidegate.session import delete_path, folders_of, scratch_path
+from tidegate.session import folders_of, scratch_path
 from tidegate.streaming import bucketed_table as B
 from tidegate.streaming import incremental as I
 
@@ -82,7 +82,7 @@ def _data(spark, table):
 def test_only_touched_buckets_are_written(spark):
     table = scratch_path(spark, "t")
     rows = spark.range(5000).select(F.col("id").cast("int").alias("k"), F.lit("old").alias("v"))
-    first = B.rewrite_buckets(rows, table, ["k"], _merge)
+    first = B.rewrite_buckets(rows, table, ["k"], _merge, 64)
     assert len(first.folders) == 64 == len(_data(spark, table))
     buckets = {r.b: r.k for r in rows.groupBy(B.bucket_of(["k"], 64).alias("b")).agg(F.min("k").alias("k")).collect()}
     changed = [buckets[3], buckets[40]]
@@ -105,9 +105,9 @@ def test_a_crash_before_the_manifest_leaves_the_old_version(spark, monkeypatch):
         m.setattr(B, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
         B.rewrite_buckets(new, table, ["k"], _merge)
     assert sorted(map(str, _table_of(B.read_version(spark, table)))) == sorted(map(str, _table_of(df)))
-    # So does one that dies while the manifest is written.
-    spark.createDataFrame([("half",)], "value string").write.text(f"{table}/manifest/1")
-    delete_path(spark, f"{table}/manifest/1/_SUCCESS")
+    # So does one that dies while the manifest is written, under its temporary name.
+    place, fs = B._folder(spark, f"{table}/manifest/.half")
+    fs.create(place, False).close()
     assert B.versions(spark, table) == [0]
     done = B.rewrite_buckets(new, table, ["k"], _merge)
     assert done.number == 1 and done.buckets == 8
@@ -135,6 +135,8 @@ def test_retention_follows_the_manifests(spark):
         B.rewrite_buckets(spark.createDataFrame([(7, "x")], "k int, v string"), table, ["v"], _merge)
     with pytest.raises(ValueError):
         B.read_version(spark, table, 0)
+    with pytest.raises(RuntimeError, match="another writer"):
+        B.commit(spark, table, again)
 
 
 def test_an_empty_batch_and_an_empty_table(spark):

@@ -129,3 +129,40 @@ def test_chunks_are_ranges_of_a_hot_group(spark):
     assert len(sizes) == 10 and max(sizes) < 600 and sum(sizes) == 2000
     ends = stored.groupBy("__chunk").agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("__chunk").collect()
     assert all(x["b"] < y["a"] for x, y in zip(ends, ends[1:]))
+
+
+@pytest.mark.parametrize("of", ["runs", "previous"])
+def test_rows_are_exchanged_once(spark, monkeypatch, of):
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), "id", (F.col("id") % 5 < 3).alias("v"))
+    stored = []
+    keep = W.store
+    monkeypatch.setattr(W, "store", lambda d, name: stored.append(plan_of(d)) or keep(d, name))
+    made = W.run_lengths(df, ["g"], ["id"], "v", 6) if of == "runs" else W.with_previous(df, ["g"], ["id"], ["id"], "p", 6)
+    assert len(stored) == 1 and stored[0].count("rangepartitioning(") >= 1 and "hashpartitioning(" not in stored[0]
+    # Afterwards only summaries of chunks are dealt by key: never the group or the order of rows.
+    after = plan_of(made)
+    assert "rangepartitioning(" not in after and "hashpartitioning(g" not in after
+
+
+def test_runs_of_odd_values(spark):
+    nan, rows = float("nan"), []
+    for i, v in enumerate([None, None, nan, nan, 0.0, -0.0, 1.5, None, nan]):
+        rows.append((None if i % 2 else None, i, v, [v] if v is not None else None))
+    df = spark.createDataFrame(rows, "g int, i int, v double, a array<double>").repartition(4)
+    for size in (1, 4, 20):
+        got = sorted((r.i, r.run_length) for r in W.run_lengths(df, ["g"], ["i"], "v", size).collect())
+        assert got == [(0, 2), (2, 2), (4, 2), (6, 1), (7, 1), (8, 1)]
+    lists = spark.createDataFrame([(i, x) for i, x in enumerate([[1], [1], [2], None, None, [1, 2]])], "i int, a array<int>")
+    assert sorted((r.i, r.run_length) for r in W.run_lengths(lists, [], ["i"], "a", 3).collect()) == [(0, 2), (2, 1), (3, 2), (5, 1)]
+    assert W.run_lengths(df.limit(0), ["g"], ["i"], "v").count() == 0 and W.with_previous(df.limit(0), ["g"], ["i"], ["v"]).count() == 0
+
+
+def test_one_run_over_many_chunks_and_batches(spark, monkeypatch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(300).select(F.lit(1).alias("g"), "id", (F.col("id") >= 250).alias("v"))
+        assert sorted((r.id, r.run_length) for r in W.run_lengths(df, ["g"], ["id"], "v", 12).collect()) == [(0, 250), (250, 50)]
+        prev = {r.id: r.p.id if r.p else None for r in W.with_previous(df, ["g"], ["id"], ["id"], "p", 12).collect()}
+        assert prev == {i: i - 1 if i else None for i in range(300)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -7,7 +7,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.operators.skew import HOT_ROWS, SALTS, balanced_join, hot_keys
+from tidegate.operators.skew import HOT_ROWS, SALTS, hot_keys
 from tidegate.session import bucketed, cut_lineage
 
 
@@ -88,56 +88,57 @@ def unreachable(result: DataFrame) -> DataFrame:
     return result.filter(F.col("dist") == F.lit(float("inf")))
 
 
-def repair_chains(
-    nodes: DataFrame,
-    managers: DataFrame,
-    max_depth: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    fraction: float = 0.05,
-) -> DataFrame:
+def repair_chains(nodes: DataFrame, managers: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Chain of managers above each node that does not hang below the root.
 
     `nodes(node)`, `managers(currentnode, childnode)`. The chain ends after a manager equal to the
     node it manages, already in the chain, or equal to the start (`status` cycle), or where there
     is no manager (`status` no_manager). Of several managers the lowest string is taken (a choice).
-    All nodes climb together, one join per level.
+    With `max_depth` longer chains are cut there (`status` open).
+
+    Pointers are doubled: after k rounds every node has the next 2^k managers above it as one list, and a
+    round appends the list of the last of them. So a chain of n managers takes log2(n) rounds, each one
+    join of the unfinished nodes with the lists. A chain in which a manager comes again is cut there, and
+    finished lists are stored once and stay.
     """
-    above = cut_lineage(
-        managers.filter("currentnode is not null").groupBy("childnode").agg(F.min("currentnode").alias("manager"))
-    )
-    active = cut_lineage(
-        nodes.select("node").distinct().select(
-            "node", F.col("node").alias("childnode"), F.array().cast("array<string>").alias("newPath")
-        )
+    above = managers.filter("currentnode is not null and childnode is not null").groupBy(F.col("childnode").alias("node")).agg(F.min("currentnode").alias("last"))
+    lists = above.select("node", F.array("last").alias("newPath"), "last", F.when(F.col("node") == F.col("last"), "cycle").alias("status"))
+    active = cut_lineage(lists)
+    finished, reach = [active.filter("status is not null")], 1
+    active = active.filter("status is null")
+    while not active.isEmpty() and (max_depth is None or reach <= max_depth):
+        known = active
+        for part in finished:
+            known = known.unionByName(part)
+        further = known.select(F.col("node").alias("last"), F.col("newPath").alias("more"), F.col("last").alias("next"), F.col("status").alias("ended"))
+        joined = cut_lineage(active.select("node", "newPath", "last").join(further, "last", "left").transform(_lengthened))
+        finished.append(joined.filter("status is not null"))
+        active, reach = joined.filter("status is null"), reach * 2
+    result = active
+    for part in finished:
+        result = result.unionByName(part)
+    wanted = nodes.select("node").distinct().join(result, "node", "left").select(
+        "node", F.coalesce("newPath", F.array().cast("array<string>")).alias("newPath"),
+        F.when(F.col("newPath").isNull(), "no_manager").otherwise(F.coalesce("status", F.lit("open"))).alias("status"),
     )
-    finished = []
-    depth = 0
-    while not active.isEmpty() and (max_depth is None or depth < max_depth):
-        step = balanced_join(active, above, ["childnode"], "left", hot_rows=hot_rows, fraction=fraction)
-        loops = (
-            (F.col("manager") == F.col("childnode"))
-            | F.array_contains("newPath", F.col("manager"))
-            | (F.col("manager") == F.col("node"))
-        )
-        ended = F.when(F.col("manager").isNull(), "no_manager").when(loops, "cycle")
-        climbed = cut_lineage(
-            step.select(
-                "node",
-                F.col("manager").alias("childnode"),
-                F.when(F.col("manager").isNull(), F.col("newPath"))
-                .otherwise(F.array_append("newPath", F.col("manager")))
-                .alias("newPath"),
-                ended.alias("status"),
-            )
-        )
-        finished.append(climbed.filter("status is not null").select("node", "newPath", "status"))
-        active = climbed.filter("status is null").drop("status")
-        depth += 1
-    finished.append(active.select("node", "newPath", F.lit("open").alias("status")))
-    result = finished[0]
-    for part in finished[1:]:
-        result = result.union(part)
-    return result
+    if max_depth is None:
+        return wanted
+    # A cycle is seen when its last manager is appended, the lack of a manager one step later.
+    steps = F.size("newPath") + (F.col("status") == "no_manager").cast("int")
+    return wanted.select("node", F.slice("newPath", 1, max_depth).alias("newPath"), F.when(steps > max_depth, "open").otherwise(F.col("status")).alias("status"))
+
+
+def _lengthened(joined: DataFrame) -> DataFrame:
+    """Rows (node, newPath, last, more, next, ended) with `more` appended, up to the first manager that comes again."""
+    everything = F.concat(F.array("node"), "newPath", "more")
+    chain = joined.withColumn("whole", everything).withColumn("once", F.array_distinct("whole"))
+    # Both lists are equal up to the first repetition.
+    same = F.zip_with("whole", "once", lambda a, b: F.coalesce(a == b, F.lit(False)))
+    repeated = F.when(F.size("whole") > F.size("once"), F.array_position(same, False).cast("int"))
+    cut = chain.withColumn("cut", repeated)
+    path = F.when(F.col("more").isNull(), F.col("newPath")).otherwise(F.slice("whole", F.lit(2), F.coalesce(F.col("cut") - 1, F.size("whole"))))
+    status = F.when(F.col("more").isNull(), "no_manager").when(F.col("cut").isNotNull(), "cycle").otherwise(F.col("ended"))
+    return cut.select("node", path.alias("newPath"), F.col("next").alias("last"), status.alias("status"))
 
 
 def chain_status(chains: DataFrame) -> DataFrame:

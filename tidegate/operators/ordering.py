@@ -3,19 +3,26 @@
 A global or per-group order is cut into ranges of the full sort key ("chunks") by Spark's range
 partitioning, whatever the size of a group. The chunk of a row and its position there are stored
 with the row in the shared folder, so every later branch and every retried task sees the same ones.
-Windows run inside a chunk; what crosses a chunk border is a summary of one row per chunk.
+What looks at neighbours scans each chunk once in its order, in Arrow batches, before it is stored. So rows
+are exchanged once; what crosses a chunk border is a summary of one or two rows per chunk.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidegate.functions.scalar import exact_cast
 from tidegate.operators.skew import lookup_join
-from tidegate.session import scratch_path
+from tidegate.session import scratch_path, ship_package, store
 
 _CHUNK, _POS = "__chunk", "__pos"
 # monotonically_increasing_id keeps the partition above this bit and the position below it.
@@ -24,10 +31,6 @@ _PARTITION_BIT = 33
 GAP_BLOCK = 100_000
 
 
-def _key(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
-
-
 def stored_in_order(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
     """`df` range-partitioned and sorted by `order`, with the chunk and position of each row.
 
@@ -92,6 +95,46 @@ def dense_rank_of(
     return lookup_join(df, ranks, [value], "left")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def _scanned(df: DataFrame, order: Sequence[str], chunks: int | None, schema: T.StructType, scan: Callable[[Batches, int], Batches]) -> DataFrame:
+    """What `scan(batches, chunk)` makes of each chunk of `df` in the order `order`, stored with the chunk's number `__chunk`."""
+    ranged = df.repartitionByRange(chunks, *order) if chunks else df.repartitionByRange(*order)
+    ship_package(df.sparkSession)
+
+    def run(batches: Batches) -> Batches:
+        chunk = TaskContext.get().partitionId()
+        for made in scan((b for b in batches if b.num_rows), chunk):
+            yield pa.RecordBatch.from_arrays([*made.columns, pa.array(np.full(made.num_rows, chunk, np.int32))], names=[*made.schema.names, _CHUNK])
+
+    placed = T.StructType([*schema.fields, T.StructField(_CHUNK, T.IntegerType())])
+    return store(ranged.sortWithinPartitions(*order).mapInArrow(run, placed), "scanned")
+
+
+def _as_before(rows: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
+    """For each row but the first: do the columns equal those of the row before? Nulls are equal, and so are NaNs."""
+    same = np.ones(max(rows.num_rows - 1, 0), bool)
+    for name in columns:
+        values = rows.column(rows.schema.get_field_index(name))
+        a, b = values.slice(0, len(same)), values.slice(1)
+        try:
+            equal = pc.fill_null(pc.equal(a, b), False)
+        except pa.ArrowNotImplementedError:  # nested values
+            equal = pa.array([x == y for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
+        equal = pc.or_(equal, pc.and_(a.is_null(), b.is_null()))
+        if pa.types.is_floating(values.type):
+            equal = pc.or_(equal, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        same &= equal.to_numpy(zero_copy_only=False)
+    return same
+
+
+def _joined(first: pa.RecordBatch | None, rest: pa.RecordBatch) -> pa.RecordBatch:
+    if first is None:
+        return rest
+    return pa.RecordBatch.from_arrays([pa.concat_arrays([a, b]) for a, b in zip(first.columns, rest.columns)], schema=rest.schema)
+
+
 def with_previous(
     df: DataFrame,
     group: Sequence[str],
@@ -99,32 +142,40 @@ def with_previous(
     carry: Sequence[str],
     name: str = "prev",
     chunks: int | None = None,
-    keep_place: bool = False,
 ) -> DataFrame:
     """Add struct `name` with the `carry` columns of the preceding row of the same group, else null.
 
     `group + order` must identify a row. A group may span many chunks.
     """
-    full = [*group, *order]
-    stored = stored_in_order(df, full, chunks)
+    schema, full = df.schema, [*group, *order]
+    struct = T.StructType([schema[c] for c in carry])
+    arrow = to_arrow_type(struct)
+
+    def scan(batches: Batches, chunk: int) -> Batches:
+        last, at = None, 0
+        for batch in batches:
+            rows = _joined(last, batch)
+            known = _as_before(rows, group) if last is not None else np.append(False, _as_before(rows, group))
+            n = batch.num_rows
+            fields = [rows.column(rows.schema.get_field_index(c)) for c in carry]
+            # Without a row before it, the chunk's first row stands in for its own and is masked.
+            fields = [f.slice(0, n) if last is not None else pa.concat_arrays([f.slice(0, 1), f.slice(0, n - 1)]) for f in fields]
+            before = pa.StructArray.from_arrays([f.cast(k.type) for f, k in zip(fields, arrow)], fields=list(arrow), mask=pa.array(~known))
+            yield pa.RecordBatch.from_arrays([*batch.columns, before, pa.array(np.arange(at, at + n))], names=[*batch.schema.names, name, _POS])
+            last, at = batch.slice(n - 1), at + n
+
+    shape = T.StructType([*schema.fields, T.StructField(name, struct), T.StructField(_POS, T.LongType())])
+    scanned = _scanned(df, full, chunks, shape, scan)
+    # The last row of each chunk, one row per chunk: it stands before the first row of the next chunk.
     row = F.struct(*[F.col(c) for c in dict.fromkeys([*group, *carry])])
-    ends = F.broadcast(_chunk_sizes(stored))
-    last = stored.join(ends, _CHUNK).filter(F.col(_POS) == F.col("__n") - 1).select(_CHUNK, row.alias("__last"))
-    border = last.select(
-        _CHUNK, F.lag("__last").over(Window.partitionBy(F.lit(0)).orderBy(_CHUNK)).alias("__border")
-    )
-    inside = F.lag(row).over(Window.partitionBy(_CHUNK).orderBy(_POS))
-    joined = (
-        stored.withColumn("__row", inside)
-        .join(F.broadcast(border), _CHUNK, "left")
-        .withColumn("__row", F.coalesce("__row", "__border"))
-    )
-    same = F.col("__row").isNotNull()
+    ends = scanned.groupBy(_CHUNK).agg(F.max_by(row, _POS).alias("__last"))
+    border = ends.select(_CHUNK, F.lag("__last").over(Window.partitionBy(F.lit(0)).orderBy(_CHUNK)).alias("__border"))
+    joined = scanned.join(F.broadcast(border), _CHUNK, "left")
+    same = (F.col(_POS) == 0) & F.col("__border").isNotNull()
     for g in group:
-        same = same & F.col(f"__row.{g}").eqNullSafe(F.col(g))
-    picked = F.when(same, F.struct(*[F.col(f"__row.{c}").alias(c) for c in carry]))
-    place = [_CHUNK, _POS] if keep_place else []
-    return joined.select(*df.columns, picked.alias(name), *place)
+        same = same & F.col(f"__border.{g}").eqNullSafe(F.col(g))
+    over = F.when(same, F.struct(*[F.col(f"__border.{c}").alias(c) for c in carry])).otherwise(F.col(name))
+    return joined.select(*df.columns, over.alias(name))
 
 
 def run_lengths(
@@ -136,29 +187,48 @@ def run_lengths(
 ) -> DataFrame:
     """Lengths of runs of equal consecutive values per group.
 
-    Columns: group, the order columns of the run's first row, value, `run_length`.
+    Columns: group, the order columns of the run's first row, value, `run_length`. Each chunk becomes
+    its runs in one scan. Only its first and last run can go on in other chunks; these, two rows per chunk at
+    most, are put together afterwards.
     """
     full = [*group, *order]
-    prior = with_previous(
-        df.select(*full, *([value] if value not in full else [])),
-        group, order, [value], "__prev", chunks, keep_place=True,
-    )
-    starts = prior.withColumn(
-        "__start",
-        F.when(F.col("__prev").isNotNull() & F.col(f"__prev.{value}").eqNullSafe(F.col(value)), 0).otherwise(1),
-    ).drop("__prev")
-    offsets = _running_offsets(starts.groupBy(_CHUNK).agg(F.sum("__start").alias("__n")), "__n", "__before")
-    upto = Window.partitionBy(_CHUNK).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
-    runs = (
-        starts.withColumn("__run", F.sum("__start").over(upto))
-        .join(F.broadcast(offsets), _CHUNK, "left")
-        .withColumn("__run", F.col("__run") + F.col("__before"))
-    )
-    return (
-        runs.groupBy(*group, "__run", value)
-        .agg(F.min(_key(order)).alias("__first"), F.count(F.lit(1)).alias("run_length"))
-        .select(*group, "__first.*", *([value] if value not in full else []), "run_length")
-    )
+    same_run = [*group, *([value] if value not in group else [])]
+    columns = [*full, *([value] if value not in full else [])]
+
+    def scan(batches: Batches, chunk: int) -> Batches:
+        held, length, k = None, 0, 0
+
+        def runs(rows: pa.RecordBatch, lengths: np.ndarray, last: bool) -> pa.RecordBatch:
+            n = rows.num_rows
+            more = [pa.array(lengths), pa.array(np.arange(k, k + n)), pa.array(np.full(n, last))]
+            return pa.RecordBatch.from_arrays([*rows.columns, *more], names=[*rows.schema.names, "run_length", "__k", "__last"])
+
+        for batch in batches:
+            rows = _joined(held, batch)
+            starts = np.append(0, np.flatnonzero(~_as_before(rows, same_run)) + 1)
+            lengths = np.diff(np.append(starts, rows.num_rows))
+            if held is not None:
+                lengths[0] += length - 1
+            held, length = rows.slice(int(starts[-1]), 1), int(lengths[-1])
+            if len(starts) > 1:
+                yield runs(rows.take(pa.array(starts[:-1])), lengths[:-1], False)
+                k += len(starts) - 1
+        if held is not None:
+            yield runs(held, np.array([length]), True)
+
+    own = df.select(*columns)
+    extra = [T.StructField("run_length", T.LongType()), T.StructField("__k", T.LongType()), T.StructField("__last", T.BooleanType())]
+    runs = _scanned(own, full, chunks, T.StructType([*own.schema.fields, *extra]), scan)
+    place = Window.partitionBy(F.lit(0)).orderBy(_CHUNK, "__k")
+    borders = runs.filter(F.col("__last") | (F.col("__k") == 0)).withColumn("__prior", F.lag(F.struct(*same_run)).over(place))
+    goes_on = (F.col("__k") == 0) & F.col("__prior").isNotNull()
+    for c in same_run:
+        goes_on = goes_on & F.col(f"__prior.{c}").eqNullSafe(F.col(c))
+    numbered = borders.withColumn("__run", F.sum(F.when(goes_on, 0).otherwise(1)).over(place))
+    first = F.min_by(F.struct(*columns), F.struct(_CHUNK, "__k")).alias("__first")
+    merged = numbered.groupBy("__run").agg(first, F.sum("run_length").alias("run_length")).select("__first.*", "run_length")
+    inner = runs.filter(~F.col("__last") & (F.col("__k") > 0)).select(*columns, "run_length")
+    return inner.unionByName(merged)
 
 
 def smallest_step(

@@ -411,10 +411,10 @@ def _(spark, sf):
     for _ in range(2):
         I.incremental_load(o, "o_orderdate", path, log)
     runs = I.committed_runs(spark, path, log)
-    sums = runs.agg(F.max(F.when(F.col("run") == 1, F.col("rows"))).alias("first_rows"), F.sum("rows").alias("logged_rows"))
+    first_rows, logged_rows = runs.agg(F.max(F.when(F.col("run") == 1, F.col("rows"))), F.sum("rows")).first()
     edge = F.lit("1998-01-01").cast("timestamp")
     rows = I.loaded_rows(spark, path, log, o.schema).withColumn("run", F.when(F.col("o_orderdate") < edge, 1).otherwise(2))
-    return rows.select("o_orderkey", "o_totalprice", "run").join(F.broadcast(sums), F.lit(True))
+    return rows.select("o_orderkey", "o_totalprice", "run", F.lit(first_rows).alias("first_rows"), F.lit(logged_rows).alias("logged_rows"))
 
 
 @query("i03_bookmarked_files", "SELECT event_id, event_type FROM events")
@@ -534,7 +534,7 @@ def _(spark, sf):
     rows = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     changes = rows.filter("c_custkey <= 2").withColumn("c_acctbal", F.lit(0.0))
     merge = lambda new, held: upsert_rows(new, held, ["c_custkey"])
-    old = B.rewrite_buckets(rows, target, ["c_custkey"], merge)
+    old = B.rewrite_buckets(rows, target, ["c_custkey"], merge, 64)
     new = B.rewrite_buckets(changes, target, ["c_custkey"], merge)
     moved = [f for b, f in new.folders.items() if old.folders[b] != f]
     write = F.element_at(F.split("_metadata.file_path", "/"), -3)

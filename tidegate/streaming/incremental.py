@@ -18,7 +18,7 @@ from tidegate.operators.ordering import number_rows
 from tidegate.operators.quality import dq_check, passing_rows
 from tidegate.operators.standardize import standardize
 from tidegate.session import delete_path, folders_of
-from tidegate.streaming.bucketed_table import BUCKETS, read_version, rewrite_buckets, version
+from tidegate.streaming.bucketed_table import read_version, rewrite_buckets, version
 
 
 def full_load(df: DataFrame, path: str) -> DataFrame:
@@ -79,7 +79,11 @@ def _holds_files(spark: SparkSession, path: str) -> bool:
 def loaded_rows(spark: SparkSession, path: str, log: str, schema: T.StructType) -> DataFrame:
     """What the finished runs of `incremental_load` loaded. A run that is not in the log does not count."""
     last = committed_runs(spark, path, log).agg(F.max("run")).first()[0]
-    if last is None:
+    return _rows_of_runs(spark, path, last or 0, schema)
+
+
+def _rows_of_runs(spark: SparkSession, path: str, last: int, schema: T.StructType) -> DataFrame:
+    if not last:
         return spark.createDataFrame([], schema)
     read = spark.read.schema(T.StructType([*schema.fields, T.StructField("run", T.LongType())])).option("basePath", path).parquet(f"{path}/run=*")
     return read.filter(F.col("run") <= last).drop("run")
@@ -102,13 +106,13 @@ def incremental_load(df: DataFrame, refresh_column: str, path: str, log: str, ke
     done = committed_runs(spark, path, log).agg(F.max(F.struct("run", "current_max")).alias("last")).first().last
     run, text = (done.run + 1, done.current_max) if done else (1, None)
     previous = None if text is None else _from_text(text, kind)
-    loaded = loaded_rows(spark, path, log, df.schema) if done and keys else None
+    loaded = _rows_of_runs(spark, path, done.run, df.schema) if done and keys else None
     # Where a finished run found no value at all, only keys tell old rows from new ones.
     fresh = incremental_rows(df, refresh_column, previous, loaded, keys)
     if done and previous is None and not keys:
         fresh = fresh.filter(F.col(refresh_column).isNotNull())
     counted = fresh.observe(
-        seen, _as_text(F.max(refresh_column), kind).alias("top"), F.count(F.lit(1)).alias("rows"),
+        seen, _as_text(F.max(refresh_column), kind).alias("top"), F.max(refresh_column).alias("value"), F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(refresh_column).isNull()).alias("without_value"),
     )
     counted.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/run={run}")
@@ -116,7 +120,7 @@ def incremental_load(df: DataFrame, refresh_column: str, path: str, log: str, ke
     current = text if top is None else top
     row = spark.createDataFrame([(path, run, text, current, seen.get["rows"], seen.get["without_value"])], LOAD_LOG.rpartition(",")[0])
     row.withColumn("logged_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(log)
-    return None if current is None else spark.range(1).select(_from_text(current, kind)).first()[0]
+    return seen.get["value"] if top is not None or text is None else spark.range(1).select(previous).first()[0]
 
 
 def file_stream(
@@ -304,7 +308,7 @@ def _last_file_id(spark: SparkSession, audit: str, batch_id: int) -> int:
 
 
 def stream_upsert(
-    stream: DataFrame, target: str, bookmark: str, keys: Sequence[str], latest_by: str | None = None, buckets: int = BUCKETS, keep: int = 2
+    stream: DataFrame, target: str, bookmark: str, keys: Sequence[str], latest_by: str | None = None, buckets: int | None = None, keep: int = 2
 ) -> None:
     """SCD-1 upsert of each micro-batch into a bucketed table; only buckets that the batch has keys of are rewritten.
 
