@@ -87,17 +87,20 @@ def folders_of(spark: SparkSession, path: str) -> dict[str, bool]:
     return {p.getName(): fs.exists(hadoop.Path(p, "_SUCCESS")) for p in listed}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the open workspace, or else below the shared folder."""
-    open_folders = _WORKSPACES.get()
+def scratch_path(spark: SparkSession, name: str, outer: bool = False) -> str:
+    """A fresh path below the open workspace (with `outer` the one around it), or else below the shared folder."""
+    open_folders = _WORKSPACES.get()[:-1] if outer else _WORKSPACES.get()
     top = open_folders[-1] if open_folders else f"{shared_dir(spark)}/scratch"
     return f"{top}/{uuid.uuid4().hex}/{name}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet to the shared folder and read it back: lineage is cut, executors may go."""
+def store(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
+    """Write `df` as Parquet to the shared folder and read it back: lineage is cut, executors may go.
+
+    With `outer` it outlives the open workspace: a block of work keeps its result and drops its intermediates.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name, outer)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
