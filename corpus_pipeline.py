@@ -21,7 +21,7 @@ from tidegate.llm.mixing import mixed_copies
 from tidegate.llm.quality_rules import accepted
 from tidegate.llm.secret_scan import redacted
 from tidegate.llm.shingle_join import one_of_each
-from tidegate.session import ship_package, store
+from tidegate.session import ship_package, store, workspace
 
 ORACLE_SQL = None
 
@@ -59,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), name)
+        with workspace(spark):
+            docs = store(stage(spark, docs, sf_dir), name, outer=True)
     return docs

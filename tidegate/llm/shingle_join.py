@@ -40,7 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tidegate.llm.components import components
 from tidegate.llm.texts import LOWER_BYTES, release_memory, slices, small_batches
-from tidegate.session import discard, store
+from tidegate.session import discard, store, workspace
 
 WORDS = 5
 MOST_FREQUENT = 200_000
@@ -382,36 +382,37 @@ def needed_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, sets: DataFrame, percent: int = 80, share: float = 0.3) -> DataFrame:
     """Links (a, b) between keys of different sets, stored: their components are those of all links."""
-    lists = store(index_lists(sets), "lists")
-    clusters = store(similar_clusters(lists, sets, share), "clusters")
-    across = store(pairs_across(lists, clusters, sets, percent), "across")
-    discard(lists)
-    needed = store(clusters.select("route").union(across.select("a")).union(across.select("b")).distinct(), "needed")
-    tokens = needed_sets(docs, needed)
-
-    def within(group: pd.DataFrame) -> pd.DataFrame:
-        keys = group["key"].tolist()
-        found = linked_in_block([np.frombuffer(t, np.uint64) for t in group["tokens"]], percent)
-        if len(keys) > 100:
-            release_memory()
-        return pd.DataFrame({"a": [keys[i] for i, _ in found], "b": [keys[j] for _, j in found]})
-
-    blocks = block_tasks(clusters, sets).join(tokens, "route")
-    inside = blocks.select("block", "key", "tokens").groupBy("block").applyInPandas(within, "a binary, b binary")
-    one = tokens.select(F.col("route").alias("a"), F.col("key").alias("k1"), F.col("tokens").alias("t1"))
-    two = tokens.select(F.col("route").alias("b"), F.col("key").alias("k2"), F.col("tokens").alias("t2"))
-    pairs = across.join(one, "a").join(two, "b").select("k1", "k2", "t1", "t2")
-
-    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keep = []
-            for x, y in zip(frame["t1"], frame["t2"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append((100 + percent) * both >= percent * (len(x) + len(y)))
-            yield frame.loc[keep, ["k1", "k2"]].rename(columns={"k1": "a", "k2": "b"})
-
-    return store(inside.union(pairs.mapInPandas(verify, "a binary, b binary")), "links")
+    with workspace(docs.sparkSession):
+        lists = store(index_lists(sets), "lists")
+        clusters = store(similar_clusters(lists, sets, share), "clusters")
+        across = store(pairs_across(lists, clusters, sets, percent), "across")
+        discard(lists)
+        needed = store(clusters.select("route").union(across.select("a")).union(across.select("b")).distinct(), "needed")
+        tokens = needed_sets(docs, needed)
+
+        def within(group: pd.DataFrame) -> pd.DataFrame:
+            keys = group["key"].tolist()
+            found = linked_in_block([np.frombuffer(t, np.uint64) for t in group["tokens"]], percent)
+            if len(keys) > 100:
+                release_memory()
+            return pd.DataFrame({"a": [keys[i] for i, _ in found], "b": [keys[j] for _, j in found]})
+
+        blocks = block_tasks(clusters, sets).join(tokens, "route")
+        inside = blocks.select("block", "key", "tokens").groupBy("block").applyInPandas(within, "a binary, b binary")
+        one = tokens.select(F.col("route").alias("a"), F.col("key").alias("k1"), F.col("tokens").alias("t1"))
+        two = tokens.select(F.col("route").alias("b"), F.col("key").alias("k2"), F.col("tokens").alias("t2"))
+        pairs = across.join(one, "a").join(two, "b").select("k1", "k2", "t1", "t2")
+
+        def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                keep = []
+                for x, y in zip(frame["t1"], frame["t2"]):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append((100 + percent) * both >= percent * (len(x) + len(y)))
+                yield frame.loc[keep, ["k1", "k2"]].rename(columns={"k1": "a", "k2": "b"})
+
+        return store(inside.union(pairs.mapInPandas(verify, "a binary, b binary")), "links", outer=True)
 
 
 def _with_choice(docs: DataFrame, percent: int) -> DataFrame:
@@ -453,16 +454,28 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     component's rows with a null doc_id one stays besides. Rows without words link with nothing; of rows that
     repeat both doc_id and text one stays.
     """
-    found = store(_with_choice(docs, percent).select("doc_id", "row", "stays"), "near_duplicates")
+    with workspace(docs.sparkSession):
+        found = store(_with_choice(docs, percent).select("doc_id", "row", "stays"), "near_duplicates", outer=True)
     gone = store(found.filter("not stays").select("doc_id", "row").distinct(), "gone")
     repeated = store(found.filter("stays").groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "row"), "repeated")
-    key = text_key(F.col("text"))
+    # Rows that a bitmap of fixed size excludes are neither gone nor repeated: only the others are shuffled with their texts.
+    touched = gone.union(repeated)
+    place = F.pmod(F.xxhash64("doc_id", "__row"), F.lit(FILTER_BITS)) + 1
+    bits = touched.withColumnRenamed("row", "__row").groupBy(F.bitmap_bucket_number(place).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__bits"))
+    bits = F.broadcast(store(bits, "touched_bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("__bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    known = docs.withColumn("__row", text_key(F.col("text")))
+    marked = known.join(bits, F.bitmap_bucket_number(place) == F.col("__bucket"), "left")
+    hit = F.coalesce(F.call_function("getbit", byte, (at % 8).cast("int")) == 1, F.lit(False))
+    marked = marked.withColumn("__hit", hit).drop("__bits", "__bucket")
+    free, near = marked.filter("not __hit").drop("__hit"), marked.filter("__hit").drop("__hit")
 
     def those(rows: DataFrame, among: DataFrame, how: str) -> DataFrame:
         return rows.join(among, rows["doc_id"].eqNullSafe(among["doc_id"]) & rows["__row"].eqNullSafe(among["row"]), how)
 
-    kept = those(docs.withColumn("__row", key), gone, "left_anti")
+    kept = those(near, gone, "left_anti")
     if repeated.isEmpty():
-        return kept.drop("__row")
+        return free.unionByName(kept).drop("__row")
     first = those(kept, repeated, "left_semi").dropDuplicates(["doc_id", "__row"])
-    return those(kept, repeated, "left_anti").unionByName(first).drop("__row")
+    return free.unionByName(those(kept, repeated, "left_anti")).unionByName(first).drop("__row")
