@@ -119,11 +119,10 @@ def bucket_gains(source: DataFrame, target: DataFrame, buckets: int, scale: int
     """bucket, gain: the floored `scale` times log of the target's share over the source's share, for every bucket."""
     every = source.sparkSession.range(buckets).select(F.col("id").alias("bucket"))
     both = every.join(source.withColumnRenamed("n", "s"), "bucket", "left").join(target.withColumnRenamed("n", "t"), "bucket", "left").fillna(0)
-    sums = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    s, t, all_s, all_t = (F.col(c).cast("double") for c in ("s", "t", "all_s", "all_t"))
+    all_s, all_t = (float(n or 0) for n in both.agg(F.sum("s"), F.sum("t")).first())
+    s, t = F.col("s").cast("double"), F.col("t").cast("double")
     share = (t + 1) * (all_s + buckets) / ((s + 1) * (all_t + buckets))
-    # `sums` is one row.
-    return both.join(F.broadcast(sums), F.lit(True)).select("bucket", F.floor(scale * F.log(share)).alias("gain"))
+    return both.select("bucket", F.floor(scale * F.log(share)).alias("gain"))
 
 
 def with_weights(docs: DataFrame, gains: np.ndarray, text: str = "text") -> DataFrame:
@@ -164,7 +163,8 @@ def resample(
     clash = {*NEW, "row", "order_1", "order_2"} & {c.lower() for c in keep}
     if clash:
         raise ValueError(f"the table already has {', '.join(sorted(clash))}")
-    gains = bucket_gains(bucket_counts(docs, buckets, text), bucket_counts(target, buckets, text), buckets)
+    counts = [store(bucket_counts(df, buckets, text), "bucket_counts") for df in (docs, target)]
+    gains = bucket_gains(*counts, buckets)
     table = np.array([r.gain for r in gains.orderBy("bucket").collect()], np.int64)
     carried = list(dict.fromkeys([*keep, doc_id, text]))
     weighed = with_weights(docs.select(*[F.col(f"`{c}`") for c in carried]), table, text)
