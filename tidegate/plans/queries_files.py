@@ -19,6 +19,7 @@ from tidegate.plans.registry import query
 from tidegate.session import scratch_path
 from tidegate.sources import catalog as C
 from tidegate.sources import readers as R
+from tidegate.sources import records as Q
 from tidegate.sources import writers as K
 from tidegate.streaming import bucketed_table as B
 from tidegate.streaming import incremental as I
@@ -215,6 +216,19 @@ def _(spark, sf):
     return K.to_landing(spark, raw, landed, spec).drop("row_id")
 
 
+@query(
+    "k09_multiline",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority || chr(10) || '"' || o_clerk || '", ' || chr(10) || chr(10) || o_orderstatus AS note, o_orderstatus FROM orders""",
+)
+def _(spark, sf):
+    raw, landed = scratch_path(spark, "raw"), scratch_path(spark, "landing")
+    o = table(spark, sf, "orders")
+    note = F.concat("o_orderpriority", F.lit('\n"'), "o_clerk", F.lit('", \n\n'), "o_orderstatus").alias("note")
+    o.select("o_orderkey", note, "o_orderstatus").write.options(header=True, escape='"').csv(raw)
+    spec = {"format": "csv", "columns": ["o_orderkey", "note", "o_orderstatus"], "header": True, "multiline": True}
+    return K.to_landing(spark, raw, landed, spec)
+
+
 @query(
     "k10_publish_table",
     """SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority, o_orderstatus AS pt_o_orderstatus FROM orders""",
@@ -311,6 +325,29 @@ def _(spark, sf):
     return R.read_with_header_repair(spark, folder, text.columns)
 
 
+@query(
+    "f05_two_feeds",
+    """SELECT 'orders' AS feed, CAST(o_orderkey AS VARCHAR) AS a, o_orderstatus AS b, o_orderpriority AS c FROM orders
+       UNION ALL SELECT 'parts', CAST(p_partkey AS VARCHAR), p_brand, p_type FROM part""",
+)
+def _(spark, sf):
+    # Two feeds in one folder, with headers of their own; one half of each has no header line.
+    folder = scratch_path(spark, "feeds")
+    order_names, part_names = ["ORDER", "DATE", "STATUS", "PRIORITY", "CLERK"], ["PART", "BRAND", "TYPE", "SIZE", "BOX"]
+    orders = table(spark, sf, "orders").select(*[F.col(c).cast("string").alias(n) for c, n in zip(("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_clerk"), order_names)])
+    parts = table(spark, sf, "part").select(*[F.col(c).cast("string").alias(n) for c, n in zip(("p_partkey", "p_brand", "p_type", "p_size", "p_container"), part_names)])
+    for feed, rows, half in (("orders", orders, F.col("STATUS") == "F"), ("parts", parts, F.col("SIZE").cast("int") > 25)):
+        for day, header, part in (("20240131", True, rows.filter(half)), ("20240201", False, rows.filter(~half))):
+            K.write_csv(part, f"{folder}/{feed}_{day}.csv", one_file=True, header=header)
+    config = [{"feed": "orders", "header_available_flag": "N", "headers": order_names}, {"feed": "parts", "header_available_flag": "N", "headers": part_names}]
+    read = [Q.read_feed(spark, folder, feed) for feed in config]
+    shaped = [
+        read[0].select(F.lit("orders").alias("feed"), F.col("ORDER").alias("a"), F.col("STATUS").alias("b"), F.col("PRIORITY").alias("c")),
+        read[1].select(F.lit("parts").alias("feed"), F.col("PART").alias("a"), F.col("BRAND").alias("b"), F.col("TYPE").alias("c")),
+    ]
+    return shaped[0].unionByName(shaped[1])
+
+
 @query(
     "p10_widened_read",
     """SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders WHERE o_orderdate < '1998-01-01'

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HEADER_TOLERANCE = 3
+from tidegate.sources.records import file_records, is_header, parsed
 
 
 def string_schema(metadata: Sequence[Mapping] | Sequence[str]) -> T.StructType:
@@ -22,10 +22,16 @@ def string_schema(metadata: Sequence[Mapping] | Sequence[str]) -> T.StructType:
 def read_delimited(
     spark: SparkSession, path, columns: Sequence, sep: str = ",", header: bool = True, multiline: bool = False
 ) -> DataFrame:
-    """Delimited text with the configured columns, all as strings."""
+    """Delimited text with the configured columns, all as strings.
+
+    With `multiline` quoted fields may hold line breaks; large files are shared by several tasks all the same.
+    """
+    if multiline:
+        records = file_records(spark, path)
+        return parsed((records.filter("not first") if header else records).select("value"), [f.name for f in string_schema(columns)], sep)
     return (
         spark.read.schema(string_schema(columns))
-        .options(sep=sep, header=header, multiLine=multiline, enforceSchema=True, quote='"', escape='"')
+        .options(sep=sep, header=header, enforceSchema=True, quote='"', escape='"')
         .csv(path)
     )
 
@@ -94,32 +100,15 @@ def with_file_name(df: DataFrame, name: str = "file_name") -> DataFrame:
 
 
 def read_with_header_repair(spark: SparkSession, paths, columns: Sequence[str], sep: str = ",") -> DataFrame:
-    """Delimited files of which some lack their header line.
+    """Delimited files of one feed of which some lack their header line.
 
     A file whose first line has more than `HEADER_TOLERANCE` fields outside the configured header
-    is taken to have none. All files are read with the configured columns; none is rewritten.
+    is taken to have none. One scan reads the lines and drops the headers. Feeds with headers of
+    their own are read by `records.read_feed`.
     """
-    lines = spark.read.text(paths)
-    # Lines of a file's first block keep their order inside a task, so the lowest id is line one.
-    firsts = (
-        lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
-        .withColumn("pos", F.monotonically_increasing_id())
-        .filter("at = 0")
-        .groupBy("path")
-        .agg(F.min_by("value", "pos").alias("line"))
-    )
-    fields = F.transform(F.split("line", f"\\Q{sep}\\E"), lambda f: F.trim(f, F.lit('"')))
-    unknown = F.size(F.array_except(fields, F.array(*[F.lit(c) for c in columns])))
-    listed = firsts.select("path", (unknown > HEADER_TOLERANCE).alias("headless")).collect()
-    result = None
-    for headless in (False, True):
-        chosen = [r["path"] for r in listed if r["headless"] is headless]
-        if chosen:
-            part = read_delimited(spark, chosen, columns, sep, header=not headless)
-            result = part if result is None else result.unionByName(part)
-    if result is None:
-        return spark.createDataFrame([], string_schema(columns))
-    return result
+    records = file_records(spark, paths, multiline=False)
+    kept = records.filter(~(F.col("first") & is_header(F.col("value"), columns, sep)))
+    return parsed(kept.select("value"), columns, sep)
 
 
 def preview(df: DataFrame, n: int = 10, order: Sequence[str] | None = None) -> DataFrame:

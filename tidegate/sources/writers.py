@@ -60,12 +60,14 @@ def publish_location(landing: str, post_dq: str, handle_empty: bool) -> str:
     return landing if handle_empty else post_dq
 
 
-def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, one_file: bool = False) -> None:
-    """CSV with header, written in parallel, optionally partitioned by key.
+def write_csv(
+    df: DataFrame, path: str, partition_by: Sequence[str] | None = None, one_file: bool = False, header: bool = True
+) -> None:
+    """CSV, with header unless told otherwise, written in parallel, optionally partitioned by key.
 
     With `one_file` the parts become the single file `path` after the write.
     """
-    options = dict(header=True, quote='"', escape='"', **KEEP_BLANKS)
+    options = dict(header=header, quote='"', escape='"', **KEEP_BLANKS)
     if one_file:
         if partition_by:
             raise ValueError("one file has no partitions")
@@ -78,7 +80,8 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] | None = Non
 def _write_one_file(df: DataFrame, target: str, options: Mapping) -> None:
     """Write parts in parallel without headers, then join them on the file system behind one header.
 
-    The rows are streamed from file to file, in the order of the parts; no task holds them all.
+    The rows are streamed from file to file by the driver, in the order of the parts: no task and no memory holds them
+    all, but one machine copies every byte. That is what a single file costs where the store cannot join files.
     """
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -153,11 +156,11 @@ def refresh_all(
 def to_landing(spark: SparkSession, source: str, target: str, spec: Mapping) -> DataFrame:
     """Convert a raw batch (csv, json or parquet) to Parquet.
 
-    `spec`: format, columns, sep, header, row_id (name or None).
+    `spec`: format, columns, sep, header, multiline (line breaks in quoted fields), row_id (name or None).
     """
     kind = spec.get("format", "csv")
     if kind == "csv":
-        raw = read_delimited(spark, source, spec["columns"], spec.get("sep", ","), spec.get("header", True))
+        raw = read_delimited(spark, source, spec["columns"], spec.get("sep", ","), spec.get("header", True), spec.get("multiline", False))
     elif kind in ("parquet", "json"):
         raw = spark.read.format(kind).load(source)
     else:
