@@ -65,7 +65,7 @@ def _rule(f, p=None, c="v"):
 
 UNUSABLE = [
     _rule("left_padding"),
-    _rule("left_padding", '{"padding_value":0000,"length":8}'),
+    _rule("left_padding", '{"length": 05, "padding_value": "*"}'),
     _rule("left_padding", '{"padding_value":"0"}'),
     _rule("mystery"),
     _rule("type_conversion", '{"type":"upper"}'),

@@ -79,12 +79,11 @@ def zip_to_map(keys: Column, values: Column) -> Column:
     """Map of the pairs by position, up to the shorter array; of equal keys the last one stays."""
     shared = F.least(F.size(keys), F.size(values))
     cut = F.slice(keys, F.lit(1), shared)
-    kept = F.filter(
-        F.arrays_zip(cut.alias("k"), F.slice(values, F.lit(1), shared).alias("v"),
-                     F.sequence(F.lit(0), shared - 1).alias("i")),
-        lambda e: ~F.array_contains(F.slice(cut, e["i"] + 2, shared), e["k"]),
-    )
-    pairs = F.transform(kept, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value")))
+    # Sorted by key and place, the last place of a key stands before another key: no scan per element.
+    placed = F.array_sort(F.transform(cut, lambda k, i: F.struct(k.alias("key"), i.alias("i"))))
+    last = F.zip_with(placed, F.slice(placed, F.lit(2), shared), lambda a, b: F.when(b.isNull() | ~a["key"].eqNullSafe(b["key"]), a))
+    places = F.array_sort(F.transform(F.filter(last, lambda e: e.isNotNull()), lambda e: e["i"]))
+    pairs = F.transform(places, lambda i: F.struct(F.get(keys, i).alias("key"), F.get(values, i).alias("value")))
     return F.when(shared > 0, F.map_from_entries(pairs)).otherwise(
         F.map_from_arrays(F.slice(keys, F.lit(1), F.lit(0)), F.slice(values, F.lit(1), F.lit(0)))
     )

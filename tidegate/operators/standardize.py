@@ -51,7 +51,10 @@ def convert_date(c: Column, source: str, target: str) -> Column:
 
 
 def convert_zone(c: Column, source_zone: str, target_zone: str, source: str, target: str) -> Column:
-    """Read local time of `source_zone`, print local time of `target_zone`."""
+    """Read local time of `source_zone`, print local time of `target_zone`.
+
+    Both zones are named by the rule, so its `utc_format_conversion_flag`, which must be given, changes nothing (a choice).
+    """
     # Parsed without the session's zone, in which some local times do not exist.
     wall = F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(f"{source} XXX"))
     seconds = (F.unix_micros(wall) / 1_000_000).cast("decimal(18,6)")

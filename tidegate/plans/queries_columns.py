@@ -9,6 +9,7 @@ from tidegate.operators import columns as P
 from tidegate.operators import standardize as N
 from tidegate.plans.inputs import derived, table
 from tidegate.plans.registry import query
+from tidegate.session import store
 
 # --- schema and columns -------------------------------------------------------------------------
 
@@ -229,6 +230,22 @@ def _(spark, sf):
     return table(spark, sf, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status")).distinct()
 
 
+@query(
+    "p18_stamp_later",
+    """SELECT s_suppkey, s_acctbal < 0 AS changed, s_acctbal < 0 AS updated_later, 1 = 1 AS created_first FROM supplier""",
+)
+def _(spark, sf):
+    # A later run stamps changed rows anew: their creation time stays, only their update time moves.
+    first = store(P.stamp(table(spark, sf, "supplier").select("s_suppkey", "s_acctbal")), "stamped")
+    created = first.agg(F.min("created_dt").alias("first_created")).scalar()
+    changed = first.filter("s_acctbal < 0").withColumn("first_dt", F.col("created_dt"))
+    again = P.stamp(changed.drop("created_dt", "updated_dt")).withColumn("created_dt", F.col("first_dt")).drop("first_dt")
+    kept = first.filter("not (s_acctbal < 0)").unionByName(again)
+    return kept.select(
+        "s_suppkey", (F.col("s_acctbal") < 0).alias("changed"), (F.col("updated_dt") > F.col("created_dt")).alias("updated_later"), (F.col("created_dt") == created).alias("created_first")
+    )
+
+
 # --- filters ------------------------------------------------------------------------------------
 
 

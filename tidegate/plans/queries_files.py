@@ -218,12 +218,12 @@ def _(spark, sf):
 
 @query(
     "k09_multiline",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority || chr(10) || '"' || o_clerk || '", ' || chr(10) || chr(10) || o_orderstatus AS note, o_orderstatus FROM orders""",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority || chr(10) || '"' || o_custkey || '", ' || chr(10) || chr(10) || o_orderstatus AS note, o_orderstatus FROM orders""",
 )
 def _(spark, sf):
     raw, landed = scratch_path(spark, "raw"), scratch_path(spark, "landing")
     o = table(spark, sf, "orders")
-    note = F.concat("o_orderpriority", F.lit('\n"'), "o_clerk", F.lit('", \n\n'), "o_orderstatus").alias("note")
+    note = F.concat("o_orderpriority", F.lit('\n"'), "o_custkey", F.lit('", \n\n'), "o_orderstatus").alias("note")
     o.select("o_orderkey", note, "o_orderstatus").write.options(header=True, escape='"').csv(raw)
     spec = {"format": "csv", "columns": ["o_orderkey", "note", "o_orderstatus"], "header": True, "multiline": True}
     return K.to_landing(spark, raw, landed, spec)
@@ -301,6 +301,29 @@ def _(spark, sf):
     return result
 
 
+@query(
+    "k13_second_backup",
+    """SELECT 'latest' AS place, c_custkey AS key, c_acctbal + 1 AS value FROM customer
+       UNION ALL SELECT 'archive/d1', c_custkey, c_acctbal FROM customer
+       UNION ALL SELECT 'archive/d2', c_custkey, c_acctbal + 1 FROM customer
+       UNION ALL SELECT 'archive/d1', s_suppkey, s_acctbal FROM supplier""",
+)
+def _(spark, sf):
+    # The second backup holds changed customers and leaves the suppliers out: they are gone from the latest one only.
+    customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("value"))
+    supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("value"))
+    place, source = scratch_path(spark, "backup"), scratch_path(spark, "tables")
+    paths = {n: f"{source}/{n}" for n in ("customer", "supplier")}
+    customer.write.parquet(paths["customer"])
+    supplier.write.parquet(paths["supplier"])
+    K.backup_tables(spark, paths, place, "d1")
+    customer.withColumn("value", F.col("value") + 1).write.mode("overwrite").parquet(paths["customer"])
+    K.backup_tables(spark, paths, place, "d2", exclude=["SUPP"])
+    held = [(f"{where}/{name}", where) for where in ("latest", "archive/d1", "archive/d2") for name in paths if (where, name) in (("archive/d1", "supplier"),) or name == "customer"]
+    parts = [spark.read.parquet(f"{place}/{path}").select(F.lit(where).alias("place"), "key", "value") for path, where in held]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 @query("k14_backup_before_change", "SELECT p_partkey, p_name, p_size FROM part")
 def _(spark, sf):
     path = scratch_path(spark, "part")
@@ -316,6 +339,17 @@ def _(spark, sf):
     return K.archive_batch(raw, scratch_path(spark, "archive"), "2024-01-31", 77).withColumn("batch", F.col("batch").cast("bigint"))
 
 
+@query("k15_archive_contents", "SELECT o_orderkey, o_totalprice, o_orderpriority AS file, 2 AS batch FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT o_orderkey, o_totalprice, 'late', 1 FROM orders WHERE o_orderstatus = 'F'")
+def _(spark, sf):
+    # Two batches of a day, the second one archived twice: each is there once, with all columns.
+    root = scratch_path(spark, "archive")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.col("o_orderpriority").alias("file_id"))
+    K.archive_batch(o.filter("o_orderstatus = 'F'").withColumn("file_id", F.lit("late")), root, "2024-01-31", 1)
+    for part in (o, o.filter("o_orderstatus <> 'F'")):
+        K.archive_batch(part, root, "2024-01-31", 2)
+    return spark.read.parquet(f"{root}/2024-01-31").select("o_orderkey", "o_totalprice", "file", "batch")
+
+
 @query("f05_header_repair", ORDER_TEXT_SQL)
 def _(spark, sf):
     folder = scratch_path(spark, "mixed")
@@ -333,9 +367,9 @@ def _(spark, sf):
 def _(spark, sf):
     # Two feeds in one folder, with headers of their own; one half of each has no header line.
     folder = scratch_path(spark, "feeds")
-    order_names, part_names = ["ORDER", "DATE", "STATUS", "PRIORITY", "CLERK"], ["PART", "BRAND", "TYPE", "SIZE", "BOX"]
-    orders = table(spark, sf, "orders").select(*[F.col(c).cast("string").alias(n) for c, n in zip(("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_clerk"), order_names)])
-    parts = table(spark, sf, "part").select(*[F.col(c).cast("string").alias(n) for c, n in zip(("p_partkey", "p_brand", "p_type", "p_size", "p_container"), part_names)])
+    order_names, part_names = ["ORDER", "DATE", "STATUS", "PRIORITY", "CUSTOMER"], ["PART", "BRAND", "TYPE", "SIZE", "PRICE"]
+    orders = table(spark, sf, "orders").select(*[F.col(c).cast("string").alias(n) for c, n in zip(("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_custkey"), order_names)])
+    parts = table(spark, sf, "part").select(*[F.col(c).cast("string").alias(n) for c, n in zip(("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"), part_names)])
     for feed, rows, half in (("orders", orders, F.col("STATUS") == "F"), ("parts", parts, F.col("SIZE").cast("int") > 25)):
         for day, header, part in (("20240131", True, rows.filter(half)), ("20240201", False, rows.filter(~half))):
             K.write_csv(part, f"{folder}/{feed}_{day}.csv", one_file=True, header=header)
