@@ -1,19 +1,26 @@
 """Main text of web pages by tag-path ratios.
 
 For each page, text nodes are gathered by their root-to-leaf tag path (with classes and ids of the
-elements). A path's text ratio is its characters outside links per node, its punctuation ratio the
-marks per node. Both are smoothed over paths that share a container, weighted by how much of the path
-they share, so that a heading or a short paragraph stands with its neighbours. The two ratios are fused
-by multiplication and by what the path says of itself: `article` and `main` speak for it, menus,
-headers, footers, sidebars, notices, adverts, forms and comments rule it out. Paths whose
-fused score reaches `cut` times the best one are content.
+elements). A path's text ratio is its characters outside links, its punctuation ratio its marks, both over the root of
+its number of blocks, so that many short blocks count less than few long ones; they are fused into one score, text *
+(1 + marks). Scores are smoothed over the tree of
+paths: a box has the sum of the paths right below it and a quarter of what deeper boxes have, and a path
+stands with the box around it, so that a heading or a short paragraph stands with its neighbours. The page itself
+is no box. Paths whose smoothed score reaches `cut` times the best one are content.
+
+What elements say of themselves is a bounded factor: words of classes, ids and roles for adverts, menus or comments
+divide a path's score by thirty; `article`, `main` and such words double it, and all paths below the outermost of these
+stand with it. Inside it only a whole class or id counts, not a word of one. Elements that are no article text by
+definition (navigation, headers, footers, asides, forms) have no score.
 
 Text of content paths is given in page order: character references are decoded, white space inside a
 block becomes one space, inline elements do not end a block, and blocks are joined by one space.
 
-Pages are read each on its own inside tasks, so nothing is shuffled. Null, empty and text-less pages
+Pages are read each on its own inside tasks, so nothing is shuffled. Time and memory grow with the length of the page,
+however deep it is nested and however many paths it has. Null, empty and text-less pages
 give the empty text. Unclosed elements end with their container, and a tag cut off by the end of the
-page is dropped. Repeated pages and other columns pass through.
+page is dropped. A quote that is never closed, or stands inside an unquoted value, is a character like any
+other. Repeated pages and other columns pass through.
 """
 
 from __future__ import annotations
@@ -44,139 +51,189 @@ ASIDE_NAME = re.compile(
     r"comments?|comment-list|disqus|replies|reply|respond|related|recommend\w*|widget|pagination|pager|copyright|legal|hidden|skip-link)(?=$|[\s_-])", re.I)
 CONTENT_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body-text|text)(?=$|[\s_-])", re.I)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|$)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))*)(?:>|$)", re.S)
 _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _DIGITS = re.compile(r"\d+")
 _MARKS = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
+#: What a word against a path and a word for it make of its score, and what a box counts of the boxes below it.
+AGAINST, FOR, DEEPER = 1 / 30, 2.0, 0.25
+
+
 class Page:
-    """The text nodes of a page: (path, whether in a link, text, block number)."""
+    """The text nodes of a page, (path, whether in a link, text, block number), and the tree of its paths.
+
+    Paths are numbers: `parents` and `labels` name the path above and the last element. Inline elements are no part of a path.
+    """
 
     def __init__(self, source: str):
-        self.nodes: list[tuple[tuple[str, ...], bool, str, int]] = []
+        self.nodes: list[tuple[int, bool, str, int]] = []
+        self.parents, self.labels = [-1], [""]
+        self._numbers: dict[tuple[int, str], int] = {}
         self.block = 0
-        stack: list[str] = []  # element names
-        path: list[str] = []  # the same with what the elements say of themselves
-        at, size, end = 0, len(source), 0
+        # The open elements, the path at each, and where in the stack each name, scope and block element stands.
+        self._stack: list[str] = []
+        self._paths = [0]
+        self._where: dict[str, list[int]] = defaultdict(list)
+        self._scopes: list[int] = []
+        self._blocks: list[int] = []
+        at, size = 0, len(source)
         while at < size:
             found = _TOKEN.search(source, at)
             end = found.start() if found else size
             if end > at:
-                self._text(source[at:end], stack, path)
+                self._text(source[at:end])
             if not found:
                 break
             at = found.end()
             name = (found[2] or "").lower()
             if not name:
                 continue
-            cut_off = not found[0].endswith(">")
-            if cut_off:
+            if not found[0].endswith(">"):  # cut off
                 break
             if found[1]:
-                if name in stack:
-                    keep = len(stack) - 1 - stack[::-1].index(name)
-                    # An inline end tag does not close the blocks that were opened inside.
-                    if name not in INLINE or all(s in INLINE for s in stack[keep:]):
-                        self._close(stack, path, keep)
-                if name not in INLINE:
-                    self.block += 1
-                continue
-            if name in RAW and not found[3].endswith("/"):
+                self._end(name)
+            elif name in RAW and not found[3].endswith("/"):
                 closing = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|$)", re.I).search(source, at)
                 at = closing.end() if closing else size
-                continue
-            ends = (SAME_ENDS.get(name, set()) | ({"p"} if name in ENDS_P else set()))
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i] in ends:
-                    self._close(stack, path, i)
-                    break
-                if stack[i] in SCOPES and not (name in ("tr", "td", "th") and stack[i] in ("td", "th")):
-                    break
-            if name not in INLINE:
-                self.block += 1
-            if name not in VOID and not (found[3].endswith("/") and name not in INLINE | SCOPES | {"p", "li"}):
-                said = " ".join(m.strip("\"'") for m in _NAMED.findall(found[3])) if found[3] else ""
-                if found[3] and _HIDDEN.search(found[3]):
-                    said += " hidden"
-                stack.append(name)
-                # Numbered names count as one, so that a long list has few paths.
-                path.append(f"{name} {_DIGITS.sub('0', said)}" if said else name)
-
-    def _close(self, stack: list[str], path: list[str], keep: int) -> None:
-        if any(s not in INLINE for s in stack[keep:]):
+            else:
+                self._start(name, found[3])
+
+    def _start(self, name: str, attributes: str) -> None:
+        ends = SAME_ENDS.get(name, set()) | ({"p"} if name in ENDS_P else set())
+        # The innermost scope bounds the search; a cell or row ends the cell before it, which is a scope itself.
+        scope = self._scopes[-1] if self._scopes else -1
+        if name in ("tr", "td", "th"):
+            while scope >= 0 and self._stack[scope] in ("td", "th") and self._stack[scope] not in ends:
+                scope = next((s for s in reversed(self._scopes) if s < scope), -1)
+        open_at = max((self._where[e][-1] for e in ends if self._where[e]), default=-1)
+        if open_at >= max(scope, 0) and (open_at > scope or self._stack[open_at] in ends):
+            self._close(open_at)
+        if name not in INLINE:
+            self.block += 1
+        if name in VOID or (attributes.endswith("/") and name not in INLINE | SCOPES | {"p", "li"}):
+            return
+        place, path = len(self._stack), self._paths[-1]
+        if name not in INLINE:
+            said = " ".join(m.strip("\"'") for m in _NAMED.findall(attributes)) if attributes else ""
+            if attributes and _HIDDEN.search(attributes):
+                said += " hidden"
+            # Numbered names count as one, so that a long list has few paths.
+            path = self._path(path, f"{name} {_DIGITS.sub('0', said)}" if said else name)
+            self._blocks.append(place)
+        self._stack.append(name)
+        self._paths.append(path)
+        self._where[name].append(place)
+        if name in SCOPES:
+            self._scopes.append(place)
+
+    def _end(self, name: str) -> None:
+        if self._where[name]:
+            keep = self._where[name][-1]
+            # An inline end tag does not close the blocks that were opened inside.
+            if name not in INLINE or not self._blocks or self._blocks[-1] < keep:
+                self._close(keep)
+        if name not in INLINE:
+            self.block += 1
+
+    def _path(self, parent: int, label: str) -> int:
+        number = self._numbers.setdefault((parent, label), len(self.parents))
+        if number == len(self.parents):
+            self.parents.append(parent)
+            self.labels.append(label)
+        return number
+
+    def _close(self, keep: int) -> None:
+        if self._blocks and self._blocks[-1] >= keep:
             self.block += 1
-        del stack[keep:], path[keep:]
+        for places in (self._blocks, self._scopes):
+            while places and places[-1] >= keep:
+                places.pop()
+        while len(self._stack) > keep:
+            self._where[self._stack.pop()].pop()
+            self._paths.pop()
 
-    def _text(self, raw: str, stack: list[str], path: list[str]) -> None:
+    def _text(self, raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
         if text:
-            shown = tuple(p for s, p in zip(stack, path) if s not in INLINE)
-            self.nodes.append((shown, "a" in stack, text, self.block))
-
-
-def standing(path: tuple[str, ...]) -> float:
-    """What a path says of itself: 0 rules it out, more than 1 speaks for it."""
-    weight = 1.0
-    for element in path:
-        name, _, said = element.partition(" ")
-        if name in ASIDE or (said and ASIDE_NAME.search(said) and name not in ("html", "body")):
-            return 0.0
-        if name in CONTENT or (said and CONTENT_NAME.search(said)):
-            weight = 4.0
-    return weight
-
-
-def shared_part(a: tuple[str, ...], b: tuple[str, ...]) -> float:
-    """1 for equal paths; for others, what they share of the longer one, counted from the root."""
-    if a == b:
-        return 1.0
-    same = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        same += 1
-    return same / max(len(a), len(b))
-
-
-def path_scores(nodes) -> dict[tuple[str, ...], float]:
-    """Fused score of every path of a page."""
-    chars: dict = defaultdict(int)
-    marks: dict = defaultdict(int)
-    count: dict = defaultdict(int)
-    for path, in_link, text, _ in nodes:
-        size = len(text.split()) and len(text.strip())
+            self.nodes.append((self._paths[-1], bool(self._where["a"]), text, self.block))
+
+
+def said_of(page: Page, names: bool = True) -> tuple[list[float], list[int]]:
+    """For each path the factor of what its elements say, and the outermost content element above it (-1: none)."""
+    factor, content = [1.0], [-1]
+    for number in range(1, len(page.parents)):
+        above = page.parents[number]
+        name, _, said = page.labels[number].partition(" ")
+        own, box = factor[above], content[above]
+        if name in ("html", "body"):
+            said = ""
+        if names and own:
+            # Inside content a whole class or id counts; elsewhere a word of one does as well.
+            against = any(ASIDE_NAME.fullmatch(w) for w in said.split()) if box >= 0 else said and ASIDE_NAME.search(said)
+            if name in ASIDE:
+                own = 0.0
+            elif against:
+                own *= AGAINST
+            elif box < 0 and own == 1.0 and (name in CONTENT or (said and CONTENT_NAME.search(said))):
+                own, box = FOR, number
+        factor.append(own)
+        content.append(box)
+    return factor, content
+
+
+def path_scores(page: Page, names: bool = True) -> list[float]:
+    """Fused and smoothed score of every path of a page; without `names`, by the ratios alone."""
+    n = len(page.parents)
+    chars, marks, count, last = [0] * n, [0] * n, [0] * n, [-1] * n
+    for path, in_link, text, block in page.nodes:
+        size = len(text.strip())
         if size:
-            count[path] += 1
+            count[path] += block != last[path]
+            last[path] = block
             if not in_link:
                 chars[path] += size
                 marks[path] += len(_MARKS.findall(text))
-    paths = list(count)
-    own = {p: standing(p) for p in paths}
-    ratio = {p: (chars[p] / count[p], marks[p] / count[p]) for p in paths}
-    scores = {}
-    for p in paths:
-        if not own[p]:
-            scores[p] = 0.0
-            continue
-        # Smoothing over the paths that are not ruled out, the nearer the stronger; boxes of content stand together.
-        weights = [(1.0 if own[p] > 1 and own[q] > 1 else shared_part(p, q) ** 2, q) for q in paths if own[q]]
-        total = sum(w for w, _ in weights)
-        text, mark = (sum(w * ratio[q][k] for w, q in weights) / total for k in (0, 1))
-        scores[p] = own[p] * text * (1 + mark)
+    factor, content = said_of(page, names)
+    fused = [f * c / k**0.5 * (1 + m / k**0.5) if k else 0.0 for f, c, m, k in zip(factor, chars, marks, count)]
+    # Paths are numbered after the path above them: from the last on, boxes gather what is below, from the first on they hand it down.
+    leaf = [True] * n
+    for number in range(1, n):
+        leaf[page.parents[number]] = False
+    page_itself = [page.labels[number].partition(" ")[0] in ("", "html", "body") for number in range(n)]
+    box = list(fused)
+    whole = list(fused)
+    for number in range(n - 1, 0, -1):
+        above = page.parents[number]
+        box[above] += box[number] if leaf[number] else DEEPER * box[number]
+        whole[above] += whole[number]
+    scores = []
+    for number in range(n):
+        above = page.parents[number]
+        if not factor[number]:
+            scores.append(0.0)
+        elif content[number] >= 0 and factor[number] == factor[content[number]]:
+            scores.append(whole[content[number]])
+        elif number == 0 or page_itself[above]:
+            scores.append(fused[number] if leaf[number] else max(fused[number], DEEPER * box[number]))
+        else:
+            own = fused[number] if leaf[number] else box[number]
+            scores.append(max(own, box[above] * min(1.0, factor[number] / factor[above])))
     return scores
 
 
-def main_blocks(source: str | None, cut: float = 0.3) -> list[str]:
+def main_blocks(source: str | None, cut: float = 0.3, names: bool = True) -> list[str]:
     """The blocks of content in page order, without empty ones."""
-    nodes = Page(source or "").nodes
-    scores = path_scores(nodes)
-    best = max(scores.values(), default=0.0)
+    page = Page(source or "")
+    scores = path_scores(page, names)
+    # Only paths with text of their own set the mark.
+    best = max((scores[path] for path, _, text, _ in page.nodes if text.strip()), default=0.0)
     blocks: list[list[str]] = []
     last = None
-    for path, _, text, block in nodes:
-        if best > 0 and scores.get(path, 0.0) >= cut * best:
+    for path, _, text, block in page.nodes:
+        if best > 0 and scores[path] >= cut * best:
             if block != last:
                 blocks.append([])
             blocks[-1].append(text)
