@@ -9,6 +9,7 @@ border is at most one piece at either end of a block; these pieces meet by file.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -147,8 +148,10 @@ def read_feed(spark: SparkSession, folder: str, feed: Mapping, sep: str = ",", m
     the scan that reads the rows.
     """
     name, columns = feed["feed"], [c.strip() for c in feed["headers"]]
-    records = file_records(spark, folder, multiline, glob=f"{name}*")
-    named = records.withColumn("file_name", F.url_decode(F.element_at(F.split("path", "/"), -1)))
+    # The listing leaves out other feeds as far as a pattern can; signs of patterns in a name stand for any sign.
+    records = file_records(spark, folder, multiline, glob=re.sub(r"[\[\]{}*?\\]", "?", name) + "*")
+    encoded = F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B"))
+    named = records.withColumn("file_name", F.url_decode(encoded))
     own = named.filter(feed_name(F.col("file_name")) == F.lit(name))
     header = F.lit(True) if feed.get("header_available_flag", "Y") != "N" else is_header(F.col("value"), columns, sep)
     return parsed(own.filter(~(F.col("first") & header)).select("file_name", "value"), columns, sep).select(*columns, "file_name")
