@@ -4,6 +4,8 @@ from tests.conftest import plan_of, runs_python
 from tidegate.operators import dimensions as D
 from tidegate.operators import quality as M
 from tidegate.operators import relational as R
+from tidegate.session import scratch_path
+from tidegate.sources.readers import read_parquet
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +91,14 @@ def test_pairs(spark):
     assert got == [(3, 16, 1), (5, 14, 1), (8, 11, 2)]
     assert [tuple(r) for r in R.pairs_with_sum(df, "x", 16).filter("low = high").collect()] == [(8, 8, 1)]
     assert R.pairs_with_sum(df, "x", 99).count() == 0
+
+
+def test_places_tell_exact_copies_apart(spark):
+    path = scratch_path(spark, "copies")
+    spark.createDataFrame([(1, "a")] * 40 + [(2, None)] * 40, "k int, v string").repartition(3).write.parquet(path)
+    rows = read_parquet(spark, path, row_id="row_id")
+    ids = [r.row_id for r in rows.collect()]
+    assert len(set(ids)) == 80 and sorted(ids) == sorted(r.row_id for r in read_parquet(spark, path, row_id="row_id").repartition(2).collect())
+    rules = [{"rule_id": "v", "column": "v", "check": "not_null", "severity": "critical"}]
+    errors = M.dq_check(rows, rules)
+    assert errors.count() == 40 and M.dq_filter(rows, errors).count() == 40

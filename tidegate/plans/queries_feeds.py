@@ -14,6 +14,7 @@ from tidegate.operators.standardize import standardize
 from tidegate.plans.inputs import derived, table
 from tidegate.plans.registry import query
 from tidegate.session import scratch_path
+from tidegate.sources.readers import read_parquet
 
 FEED_OF = "regexp_replace(regexp_replace({c}, '^(.+)\\.[^.]+$', '\\1'), '(^|_)[0-9]+$', '')"
 NAME_FEED = FEED_OF.format(c="file_name")
@@ -496,6 +497,22 @@ def _(spark, sf):
     return kept.select("c_custkey", "name_raw", "seg_raw")
 
 
+@query(
+    "m03_exact_copies",
+    f"""WITH {DQ_SQL}, kept AS (SELECT c_custkey, name_raw FROM customer_feed WHERE c_custkey NOT IN (SELECT row_id FROM failed WHERE severity = 'critical'))
+        SELECT c_custkey, name_raw, COUNT(*) AS copies, COUNT(*) AS row_ids FROM (SELECT * FROM kept UNION ALL SELECT * FROM kept) x GROUP BY 1, 2""",
+    inputs=_FEED,
+)
+def _(spark, sf):
+    # Every row is there twice. Rows are told apart by their place in the stored feed, which is read as it is.
+    feed, path = derived(spark, sf, "customer_feed"), scratch_path(spark, "doubled")
+    feed.unionByName(feed).write.parquet(path)
+    rows = read_parquet(spark, path, row_id="row_id")
+    errors = M.dq_check(rows, DQ_RULES, references={"orders": table(spark, sf, "orders")})
+    kept = M.dq_filter(rows, errors)
+    return kept.groupBy("c_custkey", "name_raw").agg(F.count(F.lit(1)).alias("copies"), F.count_distinct("row_id").alias("row_ids"))
+
+
 COMPARE_SQL = """
   t0 AS (SELECT o_orderkey, o_custkey, round(o_totalprice, 2) AS o_totalprice, o_orderstatus,
          row_number() OVER (PARTITION BY o_orderkey ORDER BY o_custkey, o_totalprice, o_orderstatus NULLS FIRST) AS r,

@@ -41,9 +41,18 @@ def read_quoted_csv(spark: SparkSession, path) -> DataFrame:
     return spark.read.options(header=True, quote='"', escape='"').csv(path)
 
 
-def read_parquet(spark: SparkSession, path, batch: object = None, batch_column: str = "batch_id") -> DataFrame:
-    """A Parquet table, or one batch of it by partition pruning."""
+def read_parquet(
+    spark: SparkSession, path, batch: object = None, batch_column: str = "batch_id", row_id: str | None = None
+) -> DataFrame:
+    """A Parquet table, or one batch of it by partition pruning.
+
+    `row_id` adds the place of each row, its file's hash and its index there, as text: exact copies differ, the id
+    is the same however often the table is read, and nothing is numbered or stored for it.
+    """
     table = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    if row_id:
+        place = F.concat(F.md5(F.col("_metadata.file_path")), F.lit(":"), F.col("_metadata.row_index").cast("string"))
+        table = table.withColumn(row_id, place)
     return table if batch is None else table.filter(F.col(batch_column) == F.lit(batch))
 
 

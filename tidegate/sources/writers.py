@@ -166,9 +166,8 @@ def to_landing(spark: SparkSession, source: str, target: str, spec: Mapping) ->
     else:
         raise ValueError(f"unknown format {kind}")
     if spec.get("row_id"):
-        from tidegate.operators.columns import add_row_id
-
-        raw = add_row_id(raw, spec["row_id"])
+        # The landing is the stored copy that keeps the numbers.
+        raw = raw.withColumn(spec["row_id"], F.monotonically_increasing_id())
     raw.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
