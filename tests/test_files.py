@@ -3,6 +3,7 @@ import os
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tests.conftest import plan_of
 from tidegate.plans.jobs import run_jobs
 from tidegate.session import CHECKPOINT_CONF, scratch_path, shared_dir
@@ -123,3 +124,19 @@ def test_export_reads_back_everywhere(spark):
     path = K.export_text(spark.range(100).withColumn("t", F.lit("a b")), scratch_path(spark, "many"), "n", "d")
     back = R.read_delimited(spark, path, ["ID", "T"], sep="||")
     assert back.count() == 100 and back.filter("T = 'a b'").count() == 100
+
+
+def test_json_names_in_any_case(spark):
+    path = scratch_path(spark, "any_case")
+    lines = ['{"A":1,"b":"x","N":{"k":1}}', "", '{"a":2.5,"B":null}', '[{"a":3},{"A":"4"}]', "not json", '{"B":{"z":[1,2]},"n":{"k":"7"},"other":1}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("any case", "reading")
+    read = R.read_json_ignoring_case(spark, path, T.StructType.fromDDL("a int, B string, n struct<k:int>, gone date"))
+    assert not jobs.getJobIdsForGroup("any case")  # nothing is inferred
+    rows = read.collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert read.columns == ["a", "B", "n", "gone"]
+    assert [(r.a, r.B, r.n and r.n.k, r.gone) for r in rows] == [
+        (1, "x", 1, None), (2, None, None, None), (3, None, None, None), (4, None, None, None), (None, None, None, None), (None, '{"z":[1,2]}', 7, None),
+    ]

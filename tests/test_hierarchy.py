@@ -117,3 +117,21 @@ def test_depth_limits_equal_a_plain_climb(spark, depth):
 def test_chains_without_managers(spark):
     nodes, none = spark.createDataFrame([("a",), (None,)], "node string"), spark.createDataFrame([], "currentnode string, childnode string")
     assert sorted(map(str, ((r.node, r.newPath, r.status) for r in H.repair_chains(nodes, none).collect()))) == ["('a', [], 'no_manager')", "(None, [], 'no_manager')"]
+
+
+def test_visited_vertices_stay_where_they_are(spark):
+    vertices = spark.range(50).selectExpr("id", "string(id) AS node", "0.0D AS dist", "array(string(id)) AS path")
+    sent = spark.range(100).selectExpr("id AS dst", "string(id) AS dst_node", "string(id % 7) AS parent", "array('0') AS above")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        with H.Visited(vertices) as visited:
+            found = H.next_level(sent, visited.ids(), 1)
+            tree = found._jdf.queryExecution().executedPlan().toString()
+            assert tree.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in tree
+            assert visited.add(found, 1) and visited.level(1).count() == 50 and visited.ids().count() == 100
+            assert not visited.add(H.next_level(sent, visited.ids(), 2), 2)
+            result = visited.result()
+        assert result.columns == ["id", "node", "dist", "path"] and result.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, runs_python
 from tidegate.operators import dimensions as D
@@ -67,6 +70,32 @@ def test_reconcile_with_nulls_and_copies(spark):
     assert tuple(r.summary.first()) == (0, 1, 1, 1, 3)
 
 
+def test_reconcile_compares_differing_buckets_only(spark):
+    base = spark.range(20_000).selectExpr("id AS k", "concat('v', id % 7) AS v", "IF(id % 5 = 0, NULL, id * 0.5) AS x")
+    changed = base.withColumn("v", F.when(F.col("k") == 77, "other").otherwise(F.col("v"))).filter("k <> 4000")
+    target = changed.union(spark.createDataFrame([(None, "n", 1.0), (90_000, None, None)], "k bigint, v string, x double"))
+    # A key that repeats alike on both sides leaves the digests equal; it is reported all the same.
+    double = spark.createDataFrame([(5, "v5", 2.5)], "k bigint, v string, x double")
+    r = M.reconcile(base.union(double), target.union(double), ["k"], ["v", "x"])
+    assert [x["k"] for x in r.missing.collect()] == [4000] and {x["k"] for x in r.extra.collect()} == {None, 90_000}
+    assert [x["column_name"] for x in r.mismatches.collect()] == ["v", "x"][:1] and r.mismatches.first()["k"] == 77
+    assert sorted(tuple(x) for x in r.duplicates.collect()) == [(5, 2, 2)]
+    assert tuple(r.summary.first()) == (1, 2, 1, 1, 5)
+    assert r.compared.count() < 60  # of 20,001 keys
+    same = M.reconcile(base, base, ["k"], ["v", "x"])
+    assert same.compared.count() == 0 and tuple(same.summary.first()) == (0, 0, 0, 0, 0)
+
+
+def test_digests_agree_with_a_full_comparison(spark):
+    rnd = random.Random(5)
+    for _ in range(3):
+        make = lambda: [(rnd.choice([None, *range(12)]), rnd.choice(["a", None]), rnd.choice([0.0, -0.0, float("nan")])) for _ in range(25)]
+        one, two = (spark.createDataFrame(make(), "k int, v string, x double") for _ in range(2))
+        reports = lambda n: {f: sorted(map(str, getattr(M.reconcile(one, two, ["k"], ["v", "x"], buckets=n), f).collect())) for f in ("missing", "extra", "duplicates", "mismatches", "summary")}
+        whole = reports(1)  # one bucket: everything is compared
+        assert reports(16_384) == whole
+
+
 def test_suite_reports_failures(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     report = M.reconcile_all(spark, {"good": lambda: M.reconcile(df, df, ["k"], ["v"]), "bad": lambda: 1 / 0})

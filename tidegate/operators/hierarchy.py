@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from itertools import count
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators.skew import HOT_ROWS, SALTS, hot_keys
-from tidegate.session import bucketed, cut_lineage
+from tidegate.session import bucketed, cut_lineage, scratch_path
 
 
 def hierarchy(
@@ -17,7 +18,6 @@ def hierarchy(
     start_column: str,
     start_value,
     max_iter: int | None = None,
-    checkpoint_every: int = 2,
     hot_rows: int = HOT_ROWS,
     fraction: float = 0.05,
 ) -> DataFrame:
@@ -30,13 +30,12 @@ def hierarchy(
 
     The edges are stored once, bucketed by source, and only the vertices reached last are sent to
     them. Edges of a very wide parent are spread over several buckets, with a copy of the parent for
-    each. A level is stored when it is complete.
+    each. A level that is complete is added to a table of visited vertices, bucketed by vertex into as many buckets as
+    a shuffle has partitions: new vertices meet it where they lie, and what was visited is never shuffled again.
     """
     targets = vertices.select(F.col("id").alias("dst"), F.col("node").alias("dst_node"))
     starts = F.col(start_column) == F.lit(start_value)
-    level = cut_lineage(
-        vertices.filter(starts).select("id", "node", F.lit(0.0).alias("dist"), F.array("node").alias("path"))
-    )
+    first = vertices.filter(starts).select("id", "node", F.lit(0.0).alias("dist"), F.array("node").alias("path"))
     pairs = edges.select("src", "dst").filter("src is not null")
     wide = hot_keys(pairs, ["src"], hot_rows, fraction)
     named = pairs.join(targets, "dst")  # a vertex has one row, so only edges can be skewed
@@ -44,33 +43,17 @@ def hierarchy(
     mark = lambda df: df.join(F.broadcast(wide_list), "src", "left") if wide else df.withColumn("__wide", F.lit(False))
     slot = F.when(F.col("__wide"), F.pmod(F.xxhash64("dst"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
     slots = F.when(F.col("__wide"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    levels = [level]
-    visited = level.select(F.col("id").alias("dst"))
-    with bucketed(mark(named).withColumn("slot", slot).drop("__wide"), ["src", "slot"], pairs.count()) as stored:
+    rows = pairs.count()
+    with bucketed(mark(named).withColumn("slot", slot).drop("__wide"), ["src", "slot"], rows) as stored, Visited(first) as visited:
         for depth in count(1):
+            level = visited.level(depth - 1)
             parents = level.select(F.col("id").alias("src"), F.col("node").alias("parent"), F.col("path").alias("above"))
             sent = stored.join(mark(parents).withColumn("slot", F.explode(slots)).drop("__wide"), ["src", "slot"])
-            best = F.min(F.struct("parent", "above", "dst_node"))
-            found = sent.groupBy("dst").agg(best.alias("m")).join(visited, "dst", "left_anti")
-            level = cut_lineage(
-                found.select(
-                    F.col("dst").alias("id"),
-                    F.col("m.dst_node").alias("node"),
-                    F.lit(float(depth)).alias("dist"),
-                    F.concat("m.above", F.array("m.dst_node")).alias("path"),
-                )
-            )
-            if level.isEmpty():
+            if not visited.add(next_level(sent, visited.ids(), depth), depth):
                 break
             if max_iter is not None and depth > max_iter:
                 raise ValueError(f"the hierarchy goes on beyond {max_iter} levels")
-            levels.append(level)
-            visited = visited.union(level.select(F.col("id").alias("dst")))
-            if depth % checkpoint_every == 0:
-                visited = cut_lineage(visited)
-    reached = levels[0]
-    for part in levels[1:]:
-        reached = reached.union(part)
+        reached = visited.result()
     return vertices.join(reached.select("id", "dist", "path"), "id", "left").withColumns(
         {
             "dist": F.coalesce("dist", F.lit(float("inf"))),
@@ -79,6 +62,47 @@ def hierarchy(
     )
 
 
+def next_level(sent: DataFrame, visited: DataFrame, depth: int) -> DataFrame:
+    """Vertices not yet in `visited(id)` that rows (dst, dst_node, parent, above) lead to, each by its lowest parent."""
+    best = F.min(F.struct("parent", "above", "dst_node"))
+    found = sent.groupBy(F.col("dst").alias("id")).agg(best.alias("m")).join(visited, "id", "left_anti")
+    path = F.concat("m.above", F.array("m.dst_node"))
+    return found.select("id", F.col("m.dst_node").alias("node"), F.lit(float(depth)).alias("dist"), path.alias("path"))
+
+
+class Visited:
+    """A table of vertices by level, bucketed by `id`, that grows by whole levels; gone from the catalog at the end."""
+
+    def __init__(self, first: DataFrame):
+        self.spark = first.sparkSession
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"tidegate_{uuid4().hex}"
+        self.path = scratch_path(self.spark, self.name)
+        self.schema = first.schema
+        self.add(first, 0)
+
+    def __enter__(self) -> Visited:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def add(self, level: DataFrame, depth: int) -> bool:
+        """Store a level; whether it has rows."""
+        rows = level.withColumn("level", F.lit(depth)).write.mode("append").format("parquet").option("path", self.path)
+        rows.partitionBy("level").bucketBy(self.buckets, "id").saveAsTable(self.name)
+        return not self.level(depth).isEmpty()
+
+    def ids(self) -> DataFrame:
+        return self.spark.table(self.name).select("id")
+
+    def level(self, depth: int) -> DataFrame:
+        return self.spark.table(self.name).filter(F.col("level") == depth).drop("level")
+
+    def result(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path).drop("level")
+
+
 def shape_hierarchy(result: DataFrame, *columns: str) -> DataFrame:
     """Distinct node rows with the path printed from the node up to the root."""
     return result.select(*columns, F.reverse("path").alias("path"), "dist").distinct()

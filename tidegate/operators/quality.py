@@ -169,7 +169,7 @@ def passing_rows(
 
 @dataclass(frozen=True)
 class Reconciliation:
-    """Result frames of one comparison; `compared` has one row per key of either side."""
+    """Result frames of one comparison; `compared` has one row per key that had to be compared."""
 
     compared: DataFrame
     missing: DataFrame
@@ -179,13 +179,49 @@ class Reconciliation:
     summary: DataFrame
 
 
-def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Reconciliation:
+def suspect_buckets(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int) -> DataFrame:
+    """The buckets, by hash of the key, in which the sides may differ or a key may occur twice; `buckets` rows at most.
+
+    Each side is digested where it is read: rows per bucket and sums of two hashes of key and columns. Sides that
+    agree in a bucket hold the same rows there (but for a chance of 2 to the -100), so whether keys repeat in it is
+    told by one side: of it the hashes of the keys are shuffled.
+    """
+
+    def rows(df: DataFrame) -> DataFrame:
+        key = [c for name in keys for c in (F.col(name).isNull(), F.col(name))]
+        whole = [c for name in (*keys, *columns) for c in (F.col(name).isNull(), F.col(name))]
+        place = F.xxhash64(*key)
+        return df.select(
+            F.pmod(place, F.lit(buckets)).alias("__bucket"), place.alias("key"),
+            *[F.xxhash64(F.lit(seed), *whole).cast("decimal(20,0)").alias(f"h{seed}") for seed in (1, 2)],
+        )
+
+    def digests(df: DataFrame, side: str) -> DataFrame:
+        totals = F.struct(F.count(F.lit(1)).alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+        return rows(df).groupBy("__bucket").agg(totals.alias(side))
+
+    both = digests(source, "s").join(digests(target, "t"), "__bucket", "full")
+    differing = both.filter(~F.col("s").eqNullSafe(F.col("t"))).select("__bucket")
+    repeated = rows(source).groupBy("key", "__bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__bucket")
+    return differing.union(repeated).distinct()
+
+
+def reconcile(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int = 16_384
+) -> Reconciliation:
     """Compare a source extract with the loaded table.
 
     Keys that occur several times on a side are reported, then one copy per key (the smallest by
-    all columns) is compared. Both sides meet in one aggregation by key, so there is one shuffle, a
-    hot key is combined before it, and null keys match each other.
+    all columns) is compared. Null keys match each other.
+
+    Digests by bucket of the key's hash come first; only rows of buckets that differ, or in which a key repeats,
+    are shuffled with their columns. So the cost beyond two scans follows the differences. The list of such
+    buckets has at most `buckets` rows and is broadcast. In these buckets both sides meet in one aggregation by
+    key, and a hot key is combined before the shuffle. `compared` has the keys of these buckets.
     """
+    suspects = F.broadcast(store(suspect_buckets(source, target, keys, columns, buckets), "suspect_buckets"))
+    hashed = F.pmod(F.xxhash64(*[c for name in keys for c in (F.col(name).isNull(), F.col(name))]), F.lit(buckets))
+    source, target = (df.withColumn("__bucket", hashed).join(suspects, "__bucket", "left_semi") for df in (source, target))
     picked = [*keys, *columns]
     both = source.select(*picked, F.lit("s").alias("__side")).unionByName(target.select(*picked, F.lit("t").alias("__side")))
     row = F.struct(*[F.col(c) for c in columns])

@@ -208,6 +208,20 @@ def _(spark, sf):
     return R.read_json_ignoring_case(spark, path, wanted)
 
 
+@query(
+    "k08_case_by_record",
+    "SELECT o_orderkey AS batch_id, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_orderstatus END AS status, o_totalprice AS amount FROM orders",
+)
+def _(spark, sf):
+    # The case of the names differs from record to record; every third one lacks a field.
+    path, nth = scratch_path(spark, "mixed_json"), F.col("o_orderkey") % 3
+    spelt = lambda n, key, status: F.when(nth == n, F.to_json(F.struct(F.col("o_orderkey").alias(key), *status, F.col("o_totalprice").alias("Amount" if n else "amount"))))
+    status = lambda name: [F.col("o_orderstatus").alias(name)]
+    lines = F.coalesce(spelt(0, "BATCH_ID", status("Status")), spelt(1, "batch_id", status("STATUS")), spelt(2, "Batch_Id", []))
+    table(spark, sf, "orders").select(lines.alias("value")).write.text(path)
+    return R.read_json_ignoring_case(spark, path, T.StructType.fromDDL("batch_id bigint, status string, amount double"))
+
+
 @query("k09_to_landing", ORDER_TEXT_SQL)
 def _(spark, sf):
     raw, landed = scratch_path(spark, "raw"), scratch_path(spark, "landing")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,17 +61,22 @@ def read_json(spark: SparkSession, path, schema: T.StructType | str | None = Non
 
 
 def read_json_ignoring_case(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    """JSON whose field names match the wanted columns in any case; absent fields are null."""
-    raw = spark.read.json(path)
-    by_lower = {c.lower(): c for c in raw.columns}
-    return raw.select(
-        *[
-            (F.col(f"`{by_lower[f.name.lower()]}`") if f.name.lower() in by_lower else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema
-        ]
-    )
+    """JSON lines whose field names match the wanted columns in any case, record by record.
+
+    One scan without schema inference: a record becomes a map of variants, and the first of its fields whose
+    lower-cased name fits is cast to the column's type. Absent fields are null; so is every column of a line that is
+    no JSON. A line may hold an array of records; blank lines hold none. Names inside structs must fit as they are.
+    """
+    raw = spark.read.text(path).filter(F.trim("value") != "")
+    one, several = F.from_json("value", "map<string,variant>"), F.from_json("value", "array<map<string,variant>>")
+    record = F.explode(F.when(F.ltrim("value").startswith("["), several).otherwise(F.array(one)))
+    fields = raw.select(record.alias("record")).select(F.map_entries("record").alias("fields"))
+
+    def wanted(field: T.StructField) -> Column:
+        fitting = F.filter("fields", lambda f: F.lower(f["key"]) == field.name.lower())
+        return F.get(fitting, F.lit(0))["value"].cast(field.dataType).alias(field.name)
+
+    return fields.select(*[wanted(f) for f in schema])
 
 
 def read_text(spark: SparkSession, path) -> DataFrame:
