@@ -88,7 +88,7 @@ def test_reconcile_compares_differing_buckets_only(spark):
 
 def test_digests_agree_with_a_full_comparison(spark):
     rnd = random.Random(5)
-    for _ in range(3):
+    for _ in range(2):
         make = lambda: [(rnd.choice([None, *range(12)]), rnd.choice(["a", None]), rnd.choice([0.0, -0.0, float("nan")])) for _ in range(25)]
         one, two = (spark.createDataFrame(make(), "k int, v string, x double") for _ in range(2))
         reports = lambda n: {f: sorted(map(str, getattr(M.reconcile(one, two, ["k"], ["v", "x"], buckets=n), f).collect())) for f in ("missing", "extra", "duplicates", "mismatches", "summary")}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators.skew import HOT_ROWS, SALTS, hot_keys
-from tidegate.session import bucketed, cut_lineage, scratch_path
+from tidegate.session import bucketed, cut_lineage, folders_of, scratch_path
 
 
 def hierarchy(
@@ -91,7 +91,7 @@ class Visited:
         """Store a level; whether it has rows."""
         rows = level.withColumn("level", F.lit(depth)).write.mode("append").format("parquet").option("path", self.path)
         rows.partitionBy("level").bucketBy(self.buckets, "id").saveAsTable(self.name)
-        return not self.level(depth).isEmpty()
+        return f"level={depth}" in folders_of(self.spark, self.path)
 
     def ids(self) -> DataFrame:
         return self.spark.table(self.name).select("id")

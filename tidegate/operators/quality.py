@@ -182,30 +182,33 @@ class Reconciliation:
 def suspect_buckets(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int) -> DataFrame:
     """The buckets, by hash of the key, in which the sides may differ or a key may occur twice; `buckets` rows at most.
 
-    Each side is digested where it is read: rows per bucket and sums of two hashes of key and columns. Sides that
-    agree in a bucket hold the same rows there (but for a chance of 2 to the -100), so whether keys repeat in it is
-    told by one side: of it the hashes of the keys are shuffled.
+    Both sides are digested where they are read: per bucket the difference in rows and in sums of one hash of key and
+    columns, and the exclusive or of another. Sides that agree in a bucket hold the same rows there (but for a chance
+    of 2 to the -100), so whether keys repeat in it is told by one side: of it the hashes of the keys are shuffled.
     """
 
-    def rows(df: DataFrame) -> DataFrame:
-        key = [c for name in keys for c in (F.col(name).isNull(), F.col(name))]
+    def rows(df: DataFrame, sign: int) -> DataFrame:
         whole = [c for name in (*keys, *columns) for c in (F.col(name).isNull(), F.col(name))]
-        place = F.xxhash64(*key)
         return df.select(
-            F.pmod(place, F.lit(buckets)).alias("__bucket"), place.alias("key"),
-            *[F.xxhash64(F.lit(seed), *whole).cast("decimal(20,0)").alias(f"h{seed}") for seed in (1, 2)],
+            _bucket(keys, buckets).alias("__bucket"), F.lit(sign).alias("sign"), F.xxhash64(F.lit(1), *whole).alias("h1"),
+            (F.xxhash64(F.lit(2), *whole).cast("decimal(20,0)") * sign).alias("h2"),
         )
 
-    def digests(df: DataFrame, side: str) -> DataFrame:
-        totals = F.struct(F.count(F.lit(1)).alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
-        return rows(df).groupBy("__bucket").agg(totals.alias(side))
-
-    both = digests(source, "s").join(digests(target, "t"), "__bucket", "full")
-    differing = both.filter(~F.col("s").eqNullSafe(F.col("t"))).select("__bucket")
-    repeated = rows(source).groupBy("key", "__bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__bucket")
+    net = rows(source, 1).union(rows(target, -1)).groupBy("__bucket").agg(F.sum("sign").alias("n"), F.bit_xor("h1").alias("h1"), F.sum("h2").alias("h2"))
+    differing = net.filter("n <> 0 OR h1 <> 0 OR h2 <> 0").select("__bucket")
+    key = source.select(_bucket(keys, buckets).alias("__bucket"), _key_hash(keys).alias("key"))
+    repeated = key.groupBy("key", "__bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__bucket")
     return differing.union(repeated).distinct()
 
 
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[c for name in keys for c in (F.col(name).isNull(), F.col(name))])
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(_key_hash(keys), F.lit(buckets))
+
+
 def reconcile(
     source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int = 16_384
 ) -> Reconciliation:
@@ -220,8 +223,7 @@ def reconcile(
     key, and a hot key is combined before the shuffle. `compared` has the keys of these buckets.
     """
     suspects = F.broadcast(store(suspect_buckets(source, target, keys, columns, buckets), "suspect_buckets"))
-    hashed = F.pmod(F.xxhash64(*[c for name in keys for c in (F.col(name).isNull(), F.col(name))]), F.lit(buckets))
-    source, target = (df.withColumn("__bucket", hashed).join(suspects, "__bucket", "left_semi") for df in (source, target))
+    source, target = (df.withColumn("__bucket", _bucket(keys, buckets)).join(suspects, "__bucket", "left_semi") for df in (source, target))
     picked = [*keys, *columns]
     both = source.select(*picked, F.lit("s").alias("__side")).unionByName(target.select(*picked, F.lit("t").alias("__side")))
     row = F.struct(*[F.col(c) for c in columns])
