@@ -47,11 +47,11 @@ def case(spark):
     return docs, spark.createDataFrame(items, "item_id bigint, text string"), dict(enumerate(texts)), items
 
 
-@pytest.mark.parametrize("block_words", [2_000_000, 40])
-def test_equals_brute_force(case, block_words):
+@pytest.mark.parametrize("block_windows", [400_000, 40])
+def test_equals_brute_force(case, block_windows):
     """Also when the benchmark is dealt into several blocks."""
     docs, benchmark, texts, items = case
-    assert results(D.find_hits(docs, benchmark, block_words=block_words)) == {k: by_hand(t, items) for k, t in texts.items()}
+    assert results(D.find_hits(docs, benchmark, block_windows=block_windows)) == {k: by_hand(t, items) for k, t in texts.items()}
 
 
 def test_stages(case):
@@ -80,5 +80,17 @@ def test_odd_documents(spark, extra):
         D.find_hits(extra, benchmark)
 
 
+def test_one_huge_item_is_dealt_into_blocks(spark, monkeypatch):
+    long = [f"w{i}" for i in range(30_000)]
+    benchmark = spark.createDataFrame([(None, " ".join(long)), (None, "short one"), (7, " ".join(long[:13]))], "item_id bigint, text string")
+    texts = {1: " ".join(["x", *long[9_990:10_020], "y"]), 2: " ".join(long[3:15]), 3: "a short one!", 4: " ".join(long[:14])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    sizes, build = [], D.WindowIndex.__init__
+    monkeypatch.setattr(D.WindowIndex, "__init__", lambda self, items, size: sizes.append(len(items)) or build(self, items, size))
+    found = {r.doc_id: (r.hits.starts, r.hits.ends, r.hits.items) for r in D.find_hits(docs, benchmark, block_windows=5_000).collect()}
+    assert len(sizes) == 6 and max(sizes) < 5_500 and sum(sizes) == 30_000 - 12 + 2
+    assert found == {1: ([1], [31], [""]), 2: ([], [], []), 3: ([1], [3], [""]), 4: ([0], [14], ["", "7"])}
+
+
 def test_digest():
     assert D.items_digest(["9", "10"]) == hashlib.sha256(b"10,9").hexdigest()

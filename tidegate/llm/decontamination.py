@@ -3,10 +3,11 @@
 Words are lower-cased (A-Z) runs of ASCII letters and digits and of characters beyond ASCII. A window
 is `size` consecutive words of an item; an item of fewer words, but not none, is one window.
 
-The windows become a hash set that is broadcast. Its size is proven: the benchmark is counted first
-and dealt into blocks of at most `block_words` words (an item is never split), and documents
-are scanned block by block, each pass adding to the hits that the last one stored. Usually there is
-one block and one pass without a shuffle. A scan maps words to the block's vocabulary, keeps the
+The windows become a hash set that is broadcast. Its size is bounded: distinct pairs of window and item are made by
+tasks, counted with their bytes, and dealt by their own hash into blocks of about `block_windows` pairs and
+`block_bytes` bytes at most, so neither a huge item nor a repeated id makes a block larger. Documents are scanned block
+by block, each pass adding to the hits that the last one stored, which is then deleted. Usually there is one block and
+one pass without a shuffle. A scan maps words to the block's vocabulary, keeps the
 runs of known words, looks up the hash of each window there, and verifies the words of each hit.
 
 Null texts have no words. Items without words have no window. Items with equal ids count once; a null
@@ -17,14 +18,16 @@ pass through, whatever their names.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.llm.texts import LOWER_BYTES, annotate
-from tidegate.session import store
+from tidegate.session import discard, store
 
 #: Every ASCII byte that is neither letter nor digit separates words.
 _WORDS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in LOWER_BYTES)
@@ -111,22 +114,43 @@ class WindowIndex:
         return [(counts[d], by_doc.get(d, []), items[d]) for d in range(len(texts))]
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_words: int = 2_000_000, name: str = "hits") -> DataFrame:
+def windows_of(benchmark: DataFrame, size: int) -> DataFrame:
+    """Distinct (item, window): the windows of `benchmark`, each as its words joined by a space; null ids are the empty text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = words_of(text)
+                for first in range(0, len(words), 10_000):
+                    last = min(first + 10_000, max(len(words) - size, 0) + 1)
+                    made = [b" ".join(words[i : i + size]) for i in range(first, last)]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(made), pa.string()), pa.array(made, pa.binary())], names=["item", "window"])
+
+    listed = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    return listed.mapInArrow(run, "item string, window binary").distinct()
+
+
+def find_hits(
+    docs: DataFrame, benchmark: DataFrame, size: int = 13, block_windows: int = 400_000, block_bytes: int = 64 << 20, name: str = "hits"
+) -> DataFrame:
     """`docs` with the struct `name`: n_words, starts and ends of hit word spans, items as texts."""
     if name in docs.columns:
         raise ValueError(f"the table already has a column {name}")
     spark = docs.sparkSession
-    listed = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
-    sized = listed.withColumn("most", F.length("text") + 1)
-    total = sized.agg(F.sum("most"), F.max("most")).first()
-    # An item has at most as many words as characters, so a block holds at most twice its share.
-    n_blocks = 1 + (total[0] or 0) // block_words
+    windows = store(windows_of(benchmark, size), "windows")
+    total = windows.agg(F.count(F.lit(1)), F.sum(F.length("window") + F.length("item"))).first()
+    n_blocks = 1 + max(total[0] // block_windows, (total[1] or 0) // block_bytes)
+    dealt = F.pmod(F.xxhash64("window", "item"), F.lit(n_blocks))
     current = docs
     for block in range(n_blocks):
-        part = listed.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == block) if n_blocks > 1 else listed
-        index = spark.sparkContext.broadcast(WindowIndex([(r.item, words_of(r.text)) for r in part.distinct().collect()], size))
+        part = windows.filter(dealt == block).collect()
+        index = spark.sparkContext.broadcast(WindowIndex([(r["item"], bytes(r["window"]).split()) for r in part], size))
         found = annotate(current, "text", f"__hits_{block}", HITS, _scanner(index))
-        current = found if n_blocks == 1 else store(found, f"hits_{block}")
+        before, current = current, found if n_blocks == 1 else store(found, f"hits_{block}")
+        if n_blocks > 1:
+            index.unpersist()
+        if block:
+            discard(before)
     blocks = [F.col(f"__hits_{b}") for b in range(n_blocks)]
     if n_blocks == 1:
         return current.withColumnRenamed("__hits_0", name)
