@@ -89,3 +89,10 @@ def test_odd_documents(spark, extra):
     assert len(rows) == extra.count() and all(r.score < 0 and math.isfinite(r.score) for r in rows)
     assert {r.n_tokens for r in rows if r.doc_id in (1, 2, 3)} == {1}
     assert M.score_texts(extra.limit(0), frequent=5, classes=2, states=2, steps=1).count() == 0
+
+
+def test_a_long_text_is_not_padded_against_short_ones():
+    sequences = [np.zeros(n, np.int64) for n in [1_000_000, *[100] * 500, 0]]
+    batches = list(M.batches_by_length(sequences, 512))
+    assert sorted(i for own in batches for i in own) == list(range(502))
+    assert all(len(own) * max(len(sequences[i]) for i in own) <= 1 << 21 for own in batches) and len(batches) == 2

@@ -61,11 +61,14 @@ def first_model(weights: np.ndarray, states: int, seed: int) -> Model:
     return Model(np.full(states, 1 / states), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
 
 
-def batches_by_length(sequences: list[np.ndarray], width: int) -> Iterator[list[int]]:
-    """Indices of `sequences`, longest first, in batches of `width`."""
+def batches_by_length(sequences: list[np.ndarray], width: int, cells: int = 1 << 21) -> Iterator[list[int]]:
+    """Indices of `sequences`, longest first, in batches of `width`, or of fewer: padded to the longest, a batch has at most `cells` symbols."""
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    for i in range(0, len(order), width):
-        yield order[i : i + width]
+    i = 0
+    while i < len(order):
+        n = max(1, min(width, cells // max(1, len(sequences[order[i]]))))
+        yield order[i : i + n]
+        i += n
 
 
 def forward(model: Model, sequences: list[np.ndarray]) -> np.ndarray:

@@ -6,7 +6,8 @@
 3. A lasso logistic regression on the rules' indicators keeps few of them, each with a weight.
 4. The kept rules are compiled into one Spark column expression, so scoring is a projection.
 
-All fitting is distributed (Spark ML) and uses every labelled row that is handed in. The driver holds
+All fitting is distributed (Spark ML) and uses every labelled row that is handed in, but that
+beyond `sample` rows (a parameter of `fit_rules`) each tree grows on a random sample of about so many. The driver holds
 only trees and weights, bounded by `trees` and `depth`.
 
 A document whose labels disagree, or whose label is null, is not learned from. A null or empty text
@@ -114,8 +115,11 @@ def labelled(stats: DataFrame, labels: DataFrame, label: str = "quality") -> Dat
     return stats.join(agreed, stats["doc_id"] == agreed["__id"]).drop("__id")
 
 
-def fit_rules(examples: DataFrame, names: Sequence[str], trees: int = 16, depth: int = 3, penalty: float = 5e-4, steps: int = 40, seed: int = 7) -> RuleModel:
-    """Fit on `examples`: the statistics `names` and a `label` of 0.0 or 1.0."""
+def fit_rules(examples: DataFrame, names: Sequence[str], trees: int = 16, depth: int = 3, penalty: float = 5e-4, steps: int = 40, seed: int = 7, sample: int = 50_000) -> RuleModel:
+    """Fit on `examples`: the statistics `names` and a `label` of 0.0 or 1.0.
+
+    Each tree grows on a random sample of about `sample` rows where there are more; the lasso is fitted on all rows.
+    """
     examples = store(examples.select("label", *names), "examples")  # read by every step of both fits
     counts = {r.label: r.n for r in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     good, bad = counts.get(1.0, 0), counts.get(0.0, 0)
@@ -123,9 +127,8 @@ def fit_rules(examples: DataFrame, names: Sequence[str], trees: int = 16, depth:
         share = (good + 0.5) / (good + bad + 1)
         return RuleModel(math.log(share / (1 - share)), ())
     assembled = VectorAssembler(inputCols=list(names), outputCol="features").transform(examples).select("features", "label", *names)
-    # A bag per tree of about 50,000 rows is enough for splits of three levels, whatever the table's size.
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird", subsamplingRate=min(1.0, 50_000 / (good + bad)),
+        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird", subsamplingRate=min(1.0, sample / (good + bad)),
         minInstancesPerNode=5,
     ).fit(assembled)
     rules = tree_rules(forest, names)
